@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 
 def share_where(condition: Column) -> Column:
-    """Percentage of rows that meet the condition."""
-    return F.count_if(condition) * 100.0 / F.count("*")
+    """Percentage of rows that meet the condition, NULL if there are no rows."""
+    return F.try_divide(F.count_if(condition) * 100.0, F.count("*"))
 
 
 def mean_where(value: Column, condition: Column) -> Column:

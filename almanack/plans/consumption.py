@@ -17,17 +17,30 @@ from almanack.operators.joins import BROADCAST_BYTES, bounded_broadcast
 
 def weekly_sales(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """Units and net sales, in cents rounded once, by week, store and product."""
-    s, c = sales.alias("s"), calendar.alias("c")
-    keyed = s.join(c, F.col("s.date_id") == F.col("c.date_id")).select(
-        season_week_key("c.date_year", "c.week_number").alias("week"),
-        "s.store_id",
-        "s.product_id",
-        "s.sales_units",
-        "s.net_sales",
+    # The key is text made of two small numbers. Grouping by the numbers keeps
+    # text out of the hash tables and the shuffle; the text is made per group. A
+    # NULL in either makes the key NULL, so it must do so before grouping.
+    year, week = F.col("date_year") % 1000, F.col("week_number")
+    weeks = calendar.select(
+        "date_id",
+        F.when(week.isNotNull(), year).alias("short_year"),
+        F.when(year.isNotNull(), week).alias("season_week"),
     )
-    return keyed.groupBy("week", "store_id", "product_id").agg(
-        F.sum("sales_units").alias("sales_units"),
-        F.round(F.sum("net_sales"), 2).alias("net_sales"),
+    s, c = sales.alias("s"), weeks.alias("c")
+    summed = (
+        s.join(c, F.col("s.date_id") == F.col("c.date_id"))
+        .groupBy("short_year", "season_week", "store_id", "product_id")
+        .agg(
+            F.sum("sales_units").alias("sales_units"),
+            F.round(F.sum("net_sales"), 2).alias("net_sales"),
+        )
+    )
+    return summed.select(
+        season_week_key("short_year", "season_week").alias("week"),
+        "store_id",
+        "product_id",
+        "sales_units",
+        "net_sales",
     )
 
 
@@ -57,12 +70,17 @@ def weekly_consumption_sql(
     calendar: DataFrame,
     store: DataFrame,
     product: DataFrame,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The same result from SQL text over temporary views."""
+    stores = bounded_broadcast(store.select("store_id", "country"), max_broadcast_bytes)
+    products = bounded_broadcast(
+        product.select("product_id", "division", "gender", "category"), max_broadcast_bytes
+    )
     sales.createOrReplaceTempView("almanack_sales")
     calendar.createOrReplaceTempView("almanack_calendar")
-    store.createOrReplaceTempView("almanack_store")
-    product.createOrReplaceTempView("almanack_product")
+    stores.createOrReplaceTempView("almanack_store")
+    products.createOrReplaceTempView("almanack_product")
     keyed = spark.sql("""
         SELECT concat('Y', date_year % 1000, '_W', week_number) AS week,
                store_id, product_id, sales_units, net_sales

@@ -30,28 +30,23 @@ def weekly_report(
     A sale in a week outside 1 … ``weeks`` raises an error, because the report
     has no column for it.
     """
-    stores = bounded_broadcast(store.select("store_id", "channel"), max_broadcast_bytes)
+    channels = store.select("store_id", F.upper("channel").alias("channel"))
+    stores = bounded_broadcast(channels, max_broadcast_bytes)
     products = bounded_broadcast(
         product.select("product_id", "division", "gender", "category"), max_broadcast_bytes
     )
-    known_week = F.when(F.col("week_number").between(1, weeks), F.col("week_number")).otherwise(
-        F.raise_error(F.format_string("week %d is not in the report", "week_number"))
+    dates = calendar.select(
+        "date_id", (F.col("date_year") % 1000).alias("year"), F.col("week_number").alias("week")
+    )
+    known_week = F.when(F.col("week").between(1, weeks), F.col("week")).otherwise(
+        F.raise_error(F.format_string("week %d is not in the report", "week"))
     )
     # The keys are few, so sums by key in each map task leave little to shuffle.
     keyed = (
-        sales.join(calendar.select("date_id", "date_year", "week_number"), "date_id")
+        sales.join(dates, "date_id")
         .join(stores, "store_id")
         .join(products, "product_id")
-        .select(
-            F.concat(F.lit("RY"), (F.col("date_year") % 1000).cast("string")).alias("year"),
-            F.upper("channel").alias("channel"),
-            "division",
-            "gender",
-            "category",
-            known_week.alias("week"),
-            "net_sales",
-            "sales_units",
-        )
+        .withColumn("week", known_week)
     )
     numbers = list(range(1, weeks + 1))
     wide = (
@@ -68,8 +63,8 @@ def weekly_report(
         return F.struct(F.lit(row_id).alias("row_id"), *values)
 
     rows = F.explode(F.array(row(NET_SALES, "net"), row(SALES_UNITS, "units")))
-    key = underscored("year", "channel", "division", "gender", "category")
-    return wide.select(key.alias("unique_key"), *KEYS, rows.alias("data")).select(
+    named = wide.withColumn("year", F.concat(F.lit("RY"), F.col("year").cast("string")))
+    return named.select(underscored(*KEYS).alias("unique_key"), *KEYS, rows.alias("data")).select(
         "unique_key", *KEYS, "data.*"
     )
 

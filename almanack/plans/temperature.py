@@ -55,22 +55,28 @@ def station_temperature(
 
 
 def station_temperature_sql(
-    spark: SparkSession, measurements: DataFrame, stations: DataFrame
+    spark: SparkSession,
+    measurements: DataFrame,
+    stations: DataFrame,
+    limit: int | None = None,
 ) -> DataFrame:
     """The same result from SQL text: maxima joined with minima, then stations."""
     measurements.createOrReplaceTempView("almanack_measurements")
     stations.createOrReplaceTempView("almanack_stations")
-    return spark.sql("""
+    first = "" if limit is None else f"ORDER BY sid, date, value LIMIT {limit:d}"
+    return spark.sql(f"""
         SELECT * FROM
           (SELECT sid,
                   (sum(max_sum * min_n) + sum(min_sum * max_n)) / nullif(sum(max_n * min_n), 0)
                     / 20 * 1.8 + 32 AS tave
            FROM
              (SELECT sid, date, CAST(count(value) AS DOUBLE) AS max_n, sum(value) AS max_sum
-              FROM almanack_measurements WHERE measure = 'TMAX' GROUP BY sid, date)
+              FROM (SELECT * FROM almanack_measurements WHERE measure = 'TMAX' {first})
+              GROUP BY sid, date)
              JOIN
              (SELECT sid, date, CAST(count(value) AS DOUBLE) AS min_n, sum(value) AS min_sum
-              FROM almanack_measurements WHERE measure = 'TMIN' GROUP BY sid, date)
+              FROM (SELECT * FROM almanack_measurements WHERE measure = 'TMIN' {first})
+              GROUP BY sid, date)
              USING (sid, date)
            GROUP BY sid)
         JOIN almanack_stations USING (sid)

@@ -6,6 +6,7 @@ column that the query does not use is never cut out of the line.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -62,7 +63,8 @@ def parse_delimited(
     """
     if header_token is not None:
         lines = lines.filter(~F.contains("value", F.lit(header_token)))
-    cells = F.split("value", f"\\Q{sep}\\E")
+    # One escaped character is a pattern that Java splits at without a regex.
+    cells = F.split("value", re.escape(sep))
 
     def cell(at: int) -> Column:
         raw = cells[at] if strict else F.try_element_at(cells, F.lit(at + 1))

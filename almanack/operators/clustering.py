@@ -44,28 +44,24 @@ def nearest_center(
     More than ``max_centers`` centers raise an error.
     """
     packed = F.struct(
-        *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)),
         F.col(center).alias("number"),
+        *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)),
     )
-    gathered = (
-        centers.limit(max_centers + 1).agg(F.collect_list(packed).alias("all")).select(
-            F.when(F.size("all") <= max_centers, F.col("all")).otherwise(
-                F.raise_error(F.lit(f"more than {max_centers} centers"))
-            )
-        )
+    all_centers = centers.limit(max_centers + 1).agg(F.collect_list(packed).alias("all"))
+    checked = F.when(F.size("all") <= max_centers, F.sort_array("all")).otherwise(
+        F.raise_error(F.lit(f"more than {max_centers} centers"))
     )
 
     def distance(c: Column) -> Column:
         squares = [(F.col(x) - c[f"x{i}"]) * (F.col(x) - c[f"x{i}"]) for i, x in enumerate(columns)]
         return sum(squares[1:], squares[0])
 
-    # Spark takes no subquery inside a higher-order function, hence the column.
-    # It is used once, so the optimizer folds it in and no row carries it.
-    ranked = F.transform(
-        "_centers", lambda c: F.struct(distance(c).alias("d"), c["number"].alias("number"))
-    )
+    # In order of their numbers, the first of the nearest has the smallest. Spark
+    # takes no subquery inside a higher-order function, hence the columns.
+    first = F.array_position("_distances", F.array_min("_distances"))
     return (
-        points.withColumn("_centers", gathered.scalar())
-        .withColumn(center, F.array_min(ranked)["number"])
-        .drop("_centers")
+        points.withColumn("_centers", all_centers.select(checked).scalar())
+        .withColumn("_distances", F.transform("_centers", distance))
+        .withColumn(center, F.try_element_at("_centers", first.cast("int"))["number"])
+        .drop("_centers", "_distances")
     )

@@ -7,7 +7,8 @@ rows depend on a random seed (k-means, samples) have none.
 from __future__ import annotations
 
 _TURN = "2 * pi() / 365"
-_DECADE = "(year(o_orderdate) - year(o_orderdate) % 10)"
+_YEAR = "CAST(year(o_orderdate) AS INTEGER)"
+_DECADE = f"({_YEAR} - {_YEAR} % 10)"
 
 # The sales star ------------------------------------------------------------
 
@@ -141,14 +142,14 @@ FROM best JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_
 WHERE rn = 1
 """
 
-_COUNTY_RATES = """
+_COUNTY_RATES = f"""
 WITH placed AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey),
 counties AS (
   SELECT n_name AS county, right(c_name, 1) AS state,
          avg(c_acctbal) AS lat, avg(CAST(c_custkey AS DOUBLE)) AS lon
   FROM placed GROUP BY ALL),
 titled AS (SELECT c_custkey, c_name || ' ' || n_name AS title FROM placed)
-SELECT CAST(o_custkey AS VARCHAR) AS id, year(o_orderdate) AS year, 'M10' AS period,
+SELECT CAST(o_custkey AS VARCHAR) AS id, {_YEAR} AS year, 'M10' AS period,
        o_totalprice AS value, title, round(lat, 4) AS lat, round(lon, 4) AS lon, state, county
 FROM orders JOIN titled ON o_custkey = c_custkey
 JOIN counties ON contains(title, county) AND contains(title, state)
@@ -159,7 +160,8 @@ WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 10
 # Daily weather -------------------------------------------------------------
 
 _DAYS = """
-  SELECT dayofmonth(ts) AS day, dayofyear(ts) AS doy, month(ts) AS month, year(ts) AS year,
+  SELECT CAST(dayofmonth(ts) AS INTEGER) AS day, CAST(dayofyear(ts) AS INTEGER) AS doy,
+         CAST(month(ts) AS INTEGER) AS month, CAST(year(ts) AS INTEGER) AS year,
          (event_id % 40) / 10 AS precip, CAST(-1 AS DOUBLE) AS snow,
          (value + (value - user_id % 20)) / 2 AS tave, value AS tmax, value - user_id % 20 AS tmin
   FROM events
@@ -200,8 +202,8 @@ ORACLES: dict[str, str] = {
                event_type AS measure, value
         FROM events
     """,
-    "scan_tsv": """
-        SELECT CAST(o_custkey AS VARCHAR) AS id, year(o_orderdate) AS year,
+    "scan_tsv": f"""
+        SELECT CAST(o_custkey AS VARCHAR) AS id, {_YEAR} AS year,
                strftime(o_orderdate, 'M%m') AS period, o_totalprice AS value
         FROM orders
     """,
@@ -212,9 +214,9 @@ ORACLES: dict[str, str] = {
                CAST(c_nationkey AS DOUBLE) * 10.5 AS elev, rpad(c_name, 30, ' ') AS name
         FROM customer
     """,
-    "parse_delimited": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS id, year(o_orderdate) AS year,
-               month(o_orderdate) AS period, o_totalprice AS value
+    "parse_delimited": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, {_YEAR} AS year,
+               CAST(month(o_orderdate) AS INTEGER) AS period, o_totalprice AS value
         FROM orders
     """,
     "parse_missing_markers": """
@@ -289,8 +291,8 @@ ORACLES: dict[str, str] = {
                round(avg(o_orderkey), 6) AS mean_key
         FROM orders GROUP BY ALL
     """,
-    "sum_count_by_key": """
-        SELECT year(o_orderdate) AS year, round(sum(o_totalprice), 2) AS tmax_sum,
+    "sum_count_by_key": f"""
+        SELECT {_YEAR} AS year, round(sum(o_totalprice), 2) AS tmax_sum,
                count(*) AS day_count, round(avg(o_totalprice), 2) AS tmax_mean
         FROM orders GROUP BY ALL
     """,
@@ -301,8 +303,8 @@ ORACLES: dict[str, str] = {
                     FROM orders GROUP BY ALL))
         WHERE rn = 1
     """,
-    "rows_at_max": """
-        SELECT o_orderkey, year(o_orderdate) AS year, o_orderpriority FROM orders
+    "rows_at_max": f"""
+        SELECT o_orderkey, {_YEAR} AS year, o_orderpriority FROM orders
         WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)
     """,
     "argmax_row": """
@@ -363,7 +365,7 @@ ORACLES: dict[str, str] = {
         FROM orders
     """,
     "fn_math": f"""
-        SELECT o_orderkey, year(o_orderdate) % 1000 AS short_year, {_DECADE} AS decade,
+        SELECT o_orderkey, {_YEAR} % 1000 AS short_year, {_DECADE} AS decade,
                round(sin(dayofyear(o_orderdate) * {_TURN}), 8) AS sine,
                round(cos(dayofyear(o_orderdate) * {_TURN}), 8) AS cosine,
                round(sqrt(o_totalprice), 6) AS root,
@@ -372,7 +374,7 @@ ORACLES: dict[str, str] = {
     """,
     "fn_date": """
         SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS compact,
-               dayofyear(o_orderdate) AS doy, strftime(o_orderdate, '%Y-%m-%d') AS date
+               CAST(dayofyear(o_orderdate) AS INTEGER) AS doy, strftime(o_orderdate, '%Y-%m-%d') AS date
         FROM orders
     """,
     # Features, clusters and fits

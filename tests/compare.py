@@ -17,6 +17,9 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def spark_rows(df):
     order = sorted(df.columns)
     return order, Counter(tuple(r[c] for c in order) for r in df.collect())
@@ -32,6 +35,10 @@ def sql_rows(con, sql: str):
 
 def difference(df, con, sql: str) -> str | None:
     """None if the results agree, else what differs."""
+    spark_types = {name: SQL_TYPES.get(dtype, dtype) for name, dtype in df.dtypes}
+    sql_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if spark_types != sql_types:
+        return f"types {spark_types} and {sql_types}"
     spark_columns, ours = spark_rows(df)
     sql_columns, theirs = sql_rows(con, sql)
     if spark_columns != sql_columns:
@@ -42,8 +49,4 @@ def difference(df, con, sql: str) -> str | None:
             f"{ours.total()} and {theirs.total()} rows, {len(only_ours)} only in Spark:"
             f" {only_ours[:2]}, {len(only_theirs)} only in SQL: {only_theirs[:2]}"
         )
-    kinds = [{type(r[i]).__name__ for r in c} for c in (ours, theirs) for i in range(len(spark_columns))]
-    half = len(spark_columns)
-    if kinds[:half] != kinds[half:]:
-        return f"types {kinds[:half]} and {kinds[half:]}"
     return None

@@ -14,21 +14,26 @@ BROADCAST_BYTES = 64 << 20
 _ANCHOR = "_anchor"
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Ask for a broadcast of ``df`` if it measures at most ``max_bytes``.
-
-    Spark's own estimate is far off for joined, parsed or aggregated tables, so
-    one aggregate over ``df`` takes the rows and the bytes of the values. A
-    larger table comes back without a hint, for Spark to shuffle and, with
-    adaptive execution, to split where a key is hot.
-    """
+def value_bytes(df: DataFrame) -> Column:
+    """Aggregate: bytes of all values, with eight for each value and two more per row."""
     per_row = F.lit(8 * (len(df.columns) + 2))
     for field in df.schema.fields:
         if not isinstance(field.dataType, NumericType):
             text = F.col(f"`{field.name}`").cast("string")
             per_row = per_row + F.coalesce(F.octet_length(text), F.lit(0))
-    measured = df.agg(F.sum(per_row.cast("long")).alias("size")).first()
-    return F.broadcast(df) if (measured["size"] or 0) <= max_bytes else df
+    return F.coalesce(F.sum(per_row.cast("long")), F.lit(0))
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Ask for a broadcast of ``df`` if it measures at most ``max_bytes``.
+
+    Spark's own estimate is far off for joined, parsed or aggregated tables, so
+    one aggregate over ``df`` takes the bytes of its values. A larger table
+    comes back without a hint, for Spark to shuffle and, with adaptive
+    execution, to split where a key is hot.
+    """
+    size = df.agg(value_bytes(df).alias("size")).first()["size"]
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def nested_pair_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -59,23 +64,22 @@ def contains_join(
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
     keyed = right.dropna(subset=list(needles)).withColumn(_ANCHOR, _longest(needles))
-    # At most one entry for each length that a needle has.
-    lengths = keyed.agg(F.collect_set(F.length(_ANCHOR))).scalar()
+    # One job measures the needles: their bytes, and which lengths there are.
+    measured = keyed.agg(
+        value_bytes(keyed).alias("size"), F.collect_set(F.length(_ANCHOR)).alias("lengths")
+    ).first()
+    lengths = F.array(*(F.lit(n) for n in sorted(measured["lengths"]))).cast("array<int>")
 
     def substrings(n: Column) -> Column:
         starts = F.sequence(F.lit(1), F.length(text) - n + 1)
         return F.transform(starts, lambda at: F.substring(F.col(text), at, n))
 
-    fitting = F.filter("_lengths", lambda n: n <= F.length(text))
+    fitting = F.filter(lengths, lambda n: n <= F.length(text))
     pieces = F.array_distinct(F.flatten(F.transform(fitting, substrings)))
-    lookups = (
-        left.withColumn("_lengths", lengths)
-        .withColumn(_ANCHOR, F.explode(pieces))
-        .drop("_lengths")
-    )
+    lookups = left.filter(F.col(text).isNotNull()).withColumn(_ANCHOR, F.explode(pieces))
+    keyed = F.broadcast(keyed) if measured["size"] <= max_broadcast_bytes else keyed
     holds_all = reduce(Column.__and__, [F.contains(text, n) for n in needles])
-    candidates = lookups.join(bounded_broadcast(keyed, max_broadcast_bytes), _ANCHOR)
-    return candidates.filter(holds_all).drop(_ANCHOR)
+    return lookups.join(keyed, _ANCHOR).filter(holds_all).drop(_ANCHOR)
 
 
 def _longest(columns: Sequence[str]) -> Column:

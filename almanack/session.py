@@ -33,10 +33,12 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path for files that one job writes and a later one reads.
 
     The cluster names a folder that all executors share in
-    ``spark.checkpoint.dir``. Only where that is unset, as in local tests, is a
-    temporary folder of this machine used.
+    ``spark.checkpoint.dir``. Only a local session may do without, and then
+    gets a temporary folder of this machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return f"{tempfile.mkdtemp(prefix='almanack-')}/{name}"
-    return f"{shared.rstrip('/')}/almanack-{uuid.uuid4().hex}/{name}"
+    if shared:
+        return f"{shared.rstrip('/')}/almanack-{uuid.uuid4().hex}/{name}"
+    if not spark.conf.get("spark.master").startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no folder that the executors share")
+    return f"{tempfile.mkdtemp(prefix='almanack-')}/{name}"

@@ -147,8 +147,11 @@ def test_sinks(spark, tmp_path):
 
 def test_staging_follows_the_shared_folder(spark):
     class Cluster:
-        conf = {"spark.checkpoint.dir": "/shared/folder/"}
+        conf = {"spark.master": "yarn", "spark.checkpoint.dir": "/shared/folder/"}
 
     one, two = staging_path(Cluster, "x"), staging_path(Cluster, "x")
     assert one.startswith("/shared/folder/almanack-") and one != two
     assert staging_path(spark, "x") != staging_path(spark, "x")
+    Cluster.conf = {"spark.master": "yarn"}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging_path(Cluster, "x")

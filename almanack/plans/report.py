@@ -55,14 +55,11 @@ def weekly_report(
         .agg(F.sum("net_sales").alias("net"), F.sum("sales_units").cast("double").alias("units"))
     )
 
-    def row(row_id: str, measure: str):
-        values = [
-            F.coalesce(F.round(F.col(f"{n}_{measure}"), 2), F.lit(0.0)).alias(f"W{n}")
-            for n in numbers
-        ]
-        return F.struct(F.lit(row_id).alias("row_id"), *values)
+    def row(row_id: str, measure: str) -> str:
+        filled = (f"coalesce(round(`{n}_{measure}`, 2), 0D) AS W{n}" for n in numbers)
+        return f"struct('{row_id}' AS row_id, {', '.join(filled)})"
 
-    rows = F.explode(F.array(row(NET_SALES, "net"), row(SALES_UNITS, "units")))
+    rows = F.expr(f"explode(array({row(NET_SALES, 'net')}, {row(SALES_UNITS, 'units')}))")
     named = wide.withColumn("year", F.concat(F.lit("RY"), F.col("year").cast("string")))
     return named.select(underscored(*KEYS).alias("unique_key"), *KEYS, rows.alias("data")).select(
         "unique_key", *KEYS, "data.*"

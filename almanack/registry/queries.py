@@ -20,6 +20,7 @@ from almanack import sources as S
 from almanack.registry import standins as st
 from almanack.registry.standins import table
 from almanack.session import staging_path
+from almanack.sources.records import RATE_FIELDS, RATE_HEADER, STATION_SLICES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -175,17 +176,15 @@ def scan_csv_dates(spark, sf_dir):
         F.col("user_id"), F.to_date("ts").alias("date"), "event_type", "value", "props"
     )
     path = _staged(events, "events", dateFormat="yyyyMMdd")
-    read = S.read_csv(spark, path, schemas.MEASUREMENT, date_format="yyyyMMdd")
+    read = S.read_measurements(spark, path)
     return read.withColumn("date", _iso("date"))
 
 
 @_query
 def scan_tsv(spark, sf_dir):
     rates = st.county_rates(spark, sf_dir)
-    path = _staged(
-        rates, "rates", header=True, sep="\t", ignoreTrailingWhiteSpace=False
-    )
-    read = S.read_csv(spark, path, schemas.COUNTY_RATE, header=True, sep="\t")
+    path = _staged(rates, "rates", header=True, sep="\t", ignoreTrailingWhiteSpace=False)
+    read = S.read_county_rates(spark, path)
     typed = read.select(F.trim("id").alias("id"), "year", "period", "value")
     return typed.to(schemas.COUNTY_RATE)
 
@@ -201,17 +200,7 @@ def parse_fixed_width(spark, sf_dir):
         F.col("c_name"),
     )
     lines = table(spark, sf_dir, "customer").select(line.alias("value"))
-    # The column positions of the station list.
-    return S.parse_fixed_width(
-        lines,
-        [
-            S.Slice("sid", 0, 11, trim=False),
-            S.Slice("lat", 12, 20, "double"),
-            S.Slice("lon", 21, 30, "double"),
-            S.Slice("elev", 31, 37, "double"),
-            S.Slice("name", 41, 71, trim=False),
-        ],
-    )
+    return S.parse_fixed_width(lines, STATION_SLICES)
 
 
 @_query
@@ -234,17 +223,7 @@ def parse_delimited(spark, sf_dir):
             )
         ).alias("value")
     )
-    return S.parse_delimited(
-        lines,
-        [
-            S.Field("id", 0),
-            S.Field("year", 1, "int"),
-            S.Field("period", 2, "int", skip=1),
-            S.Field("value", 3, "double"),
-        ],
-        sep="\t",
-        header_token="year",
-    )
+    return S.parse_delimited(lines, RATE_FIELDS, sep="\t", header_token=RATE_HEADER)
 
 
 @_query

@@ -7,27 +7,7 @@ from pyspark.errors import PySparkException
 from almanack import schemas
 from almanack import sources as S
 from almanack.session import staging_path
-
-# Positions of the fields in the files.
-STATION_SLICES = [
-    S.Slice("sid", 0, 11, trim=False),
-    S.Slice("lat", 12, 20, "double"),
-    S.Slice("lon", 21, 30, "double"),
-    S.Slice("elev", 31, 37, "double"),
-    S.Slice("name", 41, 71, trim=False),
-]
-WEATHER_FIELDS = [
-    S.Field("day", 0, "int"),
-    S.Field("doy", 1, "int"),
-    S.Field("month", 2, "int"),
-    S.Field("year", 4, "int"),
-    S.Field("precip", 5, "double", default=-1.0),
-    S.Field("snow", 6, "double", default=-1.0),
-    S.Field("tave", 7, "double"),
-    S.Field("tmax", 8, "double"),
-    S.Field("tmin", 9, "double"),
-]
-
+from almanack.sources.records import STATION_SLICES, WEATHER_FIELDS
 
 def rows(df):
     return [tuple(r) for r in df.collect()]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +10,6 @@ from pyspark.sql.types import NumericType
 
 BROADCAST_BYTES = 64 << 20
 
-_ANCHOR = "_anchor"
-
 
 def value_bytes(df: DataFrame) -> Column:
     """Aggregate: bytes of all values, with eight for each value and two more per row."""
@@ -54,36 +51,44 @@ def contains_join(
 
     Case matters, an empty needle is in every text, and a NULL matches nothing.
 
-    Comparing each text with each needle would be a cross join. Here the right
-    row is keyed by its longest needle, and a text is looked up by its distinct
-    substrings, of only those lengths that such keys have: an equi join, whose
-    candidates really hold the longest needle. The other needles are checked on
-    the candidates. The work grows with the texts and their matches.
+    Comparing each text with each needle would be a cross join. Here a text is
+    looked up by its distinct substrings, of only those lengths that the
+    needles have: an equi join. The needles are taken one after the other, the
+    one with most different values first, and each step looks up what the texts
+    hold of the needles so far. So no candidate is made that lacks a needle,
+    also where many right rows share one, and the work grows with the texts and
+    their matches.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
-    keyed = right.dropna(subset=list(needles)).withColumn(_ANCHOR, _longest(needles))
-    # One job measures the needles: their bytes, and which lengths there are.
-    measured = keyed.agg(
-        value_bytes(keyed).alias("size"), F.collect_set(F.length(_ANCHOR)).alias("lengths")
+    known = right.dropna(subset=list(needles))
+    # One job measures the needles: their bytes, how many there are, how long they are.
+    measured = known.agg(
+        value_bytes(known).alias("size"),
+        F.array(*(F.approx_count_distinct(n) for n in needles)).alias("distinct"),
+        F.array(*(F.collect_set(F.length(n)) for n in needles)).alias("lengths"),
     ).first()
-    lengths = F.array(*(F.lit(n) for n in sorted(measured["lengths"]))).cast("array<int>")
-
-    def substrings(n: Column) -> Column:
+    order = sorted(range(len(needles)), key=lambda i: -measured["distinct"][i])
+    keys: list[str] = []
+    found = left
+    for i in order:
+        keys.append(needles[i])
+        table = known if len(keys) == len(needles) else known.select(*keys).distinct()
+        if measured["size"] <= max_broadcast_bytes:
+            table = F.broadcast(table)
+        pieces = _substrings(text, measured["lengths"][i])
+        found = found.withColumn(needles[i], F.explode(pieces)).join(table, list(keys))
+    return found.select(*left.columns, *right.columns)
+
+
+def _substrings(text: str, lengths: Sequence[int]) -> Column:
+    """The distinct substrings of the given lengths."""
+
+    def of_length(n: Column) -> Column:
         starts = F.sequence(F.lit(1), F.length(text) - n + 1)
         return F.transform(starts, lambda at: F.substring(F.col(text), at, n))
 
-    fitting = F.filter(lengths, lambda n: n <= F.length(text))
-    pieces = F.array_distinct(F.flatten(F.transform(fitting, substrings)))
-    lookups = left.filter(F.col(text).isNotNull()).withColumn(_ANCHOR, F.explode(pieces))
-    keyed = F.broadcast(keyed) if measured["size"] <= max_broadcast_bytes else keyed
-    holds_all = reduce(Column.__and__, [F.contains(text, n) for n in needles])
-    return lookups.join(keyed, _ANCHOR).filter(holds_all).drop(_ANCHOR)
-
-
-def _longest(columns: Sequence[str]) -> Column:
-    def longer(a: Column, b: Column) -> Column:
-        return F.when(F.length(a) >= F.length(b), a).otherwise(b)
-
-    return reduce(longer, [F.col(c) for c in columns])
+    wanted = F.array(*(F.lit(n) for n in sorted(lengths))).cast("array<int>")
+    fitting = F.filter(wanted, lambda n: n <= F.length(text))
+    return F.array_distinct(F.flatten(F.transform(fitting, of_length)))

@@ -220,9 +220,9 @@ ORACLES: dict[str, str] = {
         FROM orders
     """,
     "parse_missing_markers": """
-        SELECT event_id AS id, CASE WHEN event_id % 5 = 0 THEN -1.0 ELSE value END AS precip,
+        SELECT event_id AS id, CASE WHEN event_type = 'signup' THEN -1.0 ELSE value END AS precip,
                value AS tmax, CAST(user_id AS DOUBLE) AS tmin
-        FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0
+        FROM events WHERE event_type NOT IN ('error', 'click')
     """,
     "sink_json_roundtrip": "SELECT * FROM customer",
     "sink_text_roundtrip": """
@@ -244,7 +244,7 @@ ORACLES: dict[str, str] = {
         WHERE suffix(c_name, '3') AND c_mktsegment = 'HOUSEHOLD' AND c_nationkey = 7
     """,
     "filter_not_null": """
-        SELECT o_orderkey, o_custkey % 10 AS digit FROM orders WHERE o_custkey % 10 <> 0
+        SELECT o_orderkey, o_orderstatus AS known_status FROM orders WHERE o_orderstatus <> 'P'
     """,
     # Joins
     "join_equi": """
@@ -361,7 +361,7 @@ ORACLES: dict[str, str] = {
     "fn_cast": """
         SELECT o_orderkey, CAST(o_orderkey AS INTEGER) AS as_int,
                CAST(o_orderkey AS VARCHAR) AS as_text, o_totalprice AS as_double,
-               CASE WHEN o_orderkey % 3 = 0 THEN -1.0 ELSE o_totalprice END AS or_default
+               CASE WHEN o_orderstatus = 'P' THEN -1.0 ELSE o_totalprice END AS or_default
         FROM orders
     """,
     "fn_math": f"""
@@ -374,7 +374,8 @@ ORACLES: dict[str, str] = {
     """,
     "fn_date": """
         SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS compact,
-               CAST(dayofyear(o_orderdate) AS INTEGER) AS doy, strftime(o_orderdate, '%Y-%m-%d') AS date
+               CAST(dayofyear(o_orderdate) AS INTEGER) AS doy,
+               strftime(o_orderdate, '%Y-%m-%d') AS date
         FROM orders
     """,
     # Features, clusters and fits

@@ -214,27 +214,24 @@ def parse_delimited(spark, sf_dir):
         F.col("o_orderstatus"),
     )
     body = table(spark, sf_dir, "orders").select(line.alias("value"))
-    # Each order of a sixteenth gets the header line before it, as joined files would.
+    # Pending orders have a header line before them, as in files joined end to end.
     header = F.lit("series_id\tyear\tperiod\tvalue\tfootnote")
+    with_header = F.when(F.col("value").endswith("P"), F.array(header, "value"))
     lines = body.select(
-        F.explode(
-            F.when(F.xxhash64("value") % 16 == 0, F.array(header, "value")).otherwise(
-                F.array("value")
-            )
-        ).alias("value")
+        F.explode(F.coalesce(with_header, F.array("value"))).alias("value")
     )
     return S.parse_delimited(lines, RATE_FIELDS, sep="\t", header_token=RATE_HEADER)
 
 
 @_query
 def parse_missing_markers(spark, sf_dir):
-    number = F.col("value").cast("string")
+    number, kind = F.col("value").cast("string"), F.col("event_type")
     line = F.concat_ws(
         ",",
         F.col("event_id").cast("string"),
-        F.when(F.col("event_id") % 5 == 0, "T").otherwise(number),
-        F.when(F.col("event_id") % 7 == 0, ".").otherwise(number),
-        F.when(F.col("event_id") % 11 == 0, ".").otherwise(F.col("user_id").cast("string")),
+        F.when(kind == "signup", "T").otherwise(number),
+        F.when(kind == "error", ".").otherwise(number),
+        F.when(kind == "click", ".").otherwise(F.col("user_id").cast("string")),
     )
     lines = table(spark, sf_dir, "events").select(line.alias("value"))
     return S.parse_delimited(
@@ -307,9 +304,9 @@ def filter_conjunction(spark, sf_dir):
 @_query
 def filter_not_null(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.nullif(F.col("o_custkey") % 10, F.lit(0)).alias("digit")
+        "o_orderkey", F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("known_status")
     )
-    return orders.filter(F.col("digit").isNotNull())
+    return orders.filter(F.col("known_status").isNotNull())
 
 
 # Joins --------------------------------------------------------------------
@@ -363,9 +360,9 @@ def join_nested_pair(spark, sf_dir):
 @_query
 def join_contains(spark, sf_dir):
     parts = table(spark, sf_dir, "part").withColumn("title", F.concat_ws(" ", "p_name", "p_brand"))
-    groups = (
-        parts.groupBy(F.element_at(F.split("p_name", " "), 1).alias("word"), F.col("p_brand").alias("brand"))
-        .agg(F.round(F.avg("p_retailprice"), 4).alias("price"))
+    word = F.element_at(F.split("p_name", " "), 1)
+    groups = parts.groupBy(word.alias("word"), F.col("p_brand").alias("brand")).agg(
+        F.round(F.avg("p_retailprice"), 4).alias("price")
     )
     found = O.contains_join(parts.select("p_partkey", "title"), groups, "title", ["word", "brand"])
     return found.select("p_partkey", "title", "word", "brand", "price")
@@ -396,7 +393,9 @@ def avg_by_two_keys(spark, sf_dir):
     found = table(spark, sf_dir, "orders").groupBy(
         "o_custkey", X.decade(F.year("o_orderdate")).alias("decade")
     )
-    means = found.agg(F.avg("o_totalprice").alias("mean_price"), F.avg("o_orderkey").alias("mean_key"))
+    means = found.agg(
+        F.avg("o_totalprice").alias("mean_price"), F.avg("o_orderkey").alias("mean_key")
+    )
     return _rounded(means, "mean_price", "mean_key", digits=6)
 
 
@@ -531,7 +530,7 @@ def fn_cast(spark, sf_dir):
         F.col("o_orderkey").cast("string").cast("int").alias("as_int"),
         F.col("o_orderkey").cast("string").alias("as_text"),
         text.cast("double").alias("as_double"),
-        X.number_or(F.when(F.col("o_orderkey") % 3 == 0, "T").otherwise(text)).alias("or_default"),
+        X.number_or(F.when(F.col("o_orderstatus") == "P", "T").otherwise(text)).alias("or_default"),
     )
 
 
@@ -585,9 +584,7 @@ def kmeans_fit(spark, sf_dir):
 @_query
 def kmeans_assign(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
-    centers = (
-        customer.orderBy("c_custkey").limit(8).withColumnRenamed("c_custkey", "cluster")
-    )
+    centers = customer.orderBy("c_custkey").limit(8).withColumnRenamed("c_custkey", "cluster")
     return O.nearest_center(customer, centers, ["c_acctbal", "c_nationkey"]).select(
         "c_custkey", "cluster"
     )

@@ -10,7 +10,13 @@ def rows(df):
 
 def test_argmax_takes_the_smaller_label_on_a_tie(spark):
     df = spark.createDataFrame(
-        [("a", 1990, 5.0), ("a", 2000, 5.0), ("a", 2010, 4.0), ("b", 2000, -1.0), ("c", 1990, None)],
+        [
+            ("a", 1990, 5.0),
+            ("a", 2000, 5.0),
+            ("a", 2010, 4.0),
+            ("b", 2000, -1.0),
+            ("c", 1990, None),
+        ],
         "k string, decade int, mean double",
     )
     found = O.argmax_by_key(df, ["k"], "decade", "mean")
@@ -36,7 +42,8 @@ def test_argmax_row(spark):
 
 
 def test_share_and_conditional_mean(spark):
-    df = spark.createDataFrame([(0.5, 10.0), (1.0, 20.0), (2.0, 40.0), (-1.0, 1.0)], "p double, x double")
+    data = [(0.5, 10.0), (1.0, 20.0), (2.0, 40.0), (-1.0, 1.0)]
+    df = spark.createDataFrame(data, "p double, x double")
     wet, never = F.col("p") >= 1.0, F.col("p") > 99
     row = df.agg(
         O.share_where(wet), O.mean_where(F.col("x"), wet), O.mean_where(F.col("x"), never)

@@ -46,7 +46,8 @@ def matches(spark, texts, needles, **options):
 def test_contains_needs_both_needles(spark):
     texts = ["Rate: Cook County, IL (U)", "Rate: Cook County, MN (U)", "Rate: Lake County, IL (U)"]
     needles = [("Cook", "IL"), ("Cook", "MN"), ("Lake", "IL"), ("cook", "IL")]
-    assert matches(spark, texts, needles) == [(0, "Cook", "IL"), (1, "Cook", "MN"), (2, "Lake", "IL")]
+    wanted = [(0, "Cook", "IL"), (1, "Cook", "MN"), (2, "Lake", "IL")]
+    assert matches(spark, texts, needles) == wanted
 
 
 def test_contains_one_name_inside_another(spark):
@@ -79,10 +80,32 @@ def test_contains_like_brute_force(spark, limit):
     assert matches(spark, texts, needles, max_broadcast_bytes=limit) == brute_force(texts, needles)
 
 
-def test_contains_is_an_equi_join(spark):
-    left, right = titles(spark, "Cook, IL"), counties(spark, ("Cook", "IL"))
-    text = plan(contains_join(left, right, "title", ["county", "state"]))
-    assert "BroadcastHashJoin [_anchor" in text
+def test_contains_makes_no_candidate_that_lacks_a_needle(spark, settings):
+    """Many states share a county's name, and many texts hold it."""
+    texts = [f"Washington, {chr(65 + i % 26)}{i % 7}" for i in range(200)]
+    needles = [("Washington", f"{chr(65 + i % 26)}{i // 26}") for i in range(520)]
+    assert matches(spark, texts, needles) == brute_force(texts, needles)
+    joined = contains_join(
+        titles(spark, *texts), counties(spark, *needles), "title", ["county", "state"]
+    )
+    # Equality of both needles is the whole condition of the last join.
+    text = plan(joined)
+    assert "[state#" in text and "Contains" not in text
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_contains_with_one_and_with_three_needles(spark):
+    texts = ["abcde", "abde", "xyz"]
+    one = contains_join(titles(spark, *texts), counties(spark, ("bc", "")), "title", ["county"])
+    assert [r.n for r in one.collect()] == [0]
+    rows = [("a", "d", "e"), ("a", "c", "e"), ("x", "y", "q")]
+    right = spark.createDataFrame(rows, "p string, q string, r string")
+    three = contains_join(titles(spark, *texts), right, "title", ["p", "q", "r"])
+    assert sorted((r.n, r.p, r.q, r.r) for r in three.collect()) == [
+        (0, "a", "c", "e"),
+        (0, "a", "d", "e"),
+        (1, "a", "d", "e"),
+    ]
 
 
 def test_contains_rejects_columns_on_both_sides(spark):

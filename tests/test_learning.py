@@ -82,19 +82,25 @@ def test_nearest_center_pairs_no_rows_and_bounds_the_centers(spark):
         O.nearest_center(points, centers, ["x"], max_centers=4).collect()
 
 
-def wave(spark, days, shape, group=1):
+def wave(days, shape):
     start = dt.date(2017, 1, 1)
-    return [(group, start + dt.timedelta(d), shape(d)) for d in days]
+    return [(1, start + dt.timedelta(d), shape(d)) for d in days]
+
+
+def angle(day):
+    return (day + 1) / 365 * 2 * np.pi
 
 
 SCHEMA = "g int, date date, value double"
 
 
 def test_amplitude_of_an_exact_wave(spark):
-    angle = lambda d: (d + 1) / 365 * 2 * np.pi
-    rows = wave(spark, range(0, 365, 7), lambda d: 100 + 3 * np.sin(angle(d)) - 4 * np.cos(angle(d)))
-    df = spark.createDataFrame([(g, d, float(v)) for g, d, v in rows], SCHEMA)
-    row = df.groupBy("g").agg(O.seasonal_amplitude(F.col("date"), F.col("value")).alias("a")).first()
+    def shape(d):
+        return float(100 + 3 * np.sin(angle(d)) - 4 * np.cos(angle(d)))
+
+    df = spark.createDataFrame(wave(range(0, 365, 7), shape), SCHEMA)
+    wave_size = O.seasonal_amplitude(F.col("date"), F.col("value"))
+    row = df.groupBy("g").agg(wave_size.alias("a")).first()
     assert row.a == pytest.approx(5.0, abs=1e-9)
 
 
@@ -115,14 +121,13 @@ def test_fit_agrees_with_linear_regression_in_each_group(spark):
 
 @pytest.mark.parametrize("days", [[40] * 30, [40, 200] * 15, []])
 def test_too_few_distinct_days_give_null(spark, days):
-    df = spark.createDataFrame(wave(spark, days, lambda d: float(d % 7)), SCHEMA)
+    df = spark.createDataFrame(wave(days, lambda d: float(d % 7)), SCHEMA)
     row = df.agg(O.seasonal_amplitude(F.col("date"), F.col("value")).alias("a")).first()
     assert row.a is None
 
 
 def test_three_days_in_a_row_are_enough(spark):
-    angle = lambda d: (d + 1) / 365 * 2 * np.pi
-    rows = wave(spark, [90, 91, 92] * 10, lambda d: float(7 + 2 * np.sin(angle(d))))
+    rows = wave([90, 91, 92] * 10, lambda d: float(7 + 2 * np.sin(angle(d))))
     df = spark.createDataFrame(rows, SCHEMA).repartition(4)
     row = df.agg(O.seasonal_amplitude(F.col("date"), F.col("value")).alias("a")).first()
     assert row.a == pytest.approx(2.0, rel=1e-4)

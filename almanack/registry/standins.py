@@ -8,14 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from almanack.schemas import DAILY_WEATHER
 
 SEASON_WEEKS = 13
 
 
+_known_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is read from a footer once, as a catalog would keep it."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _known_schemas:
+        _known_schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_known_schemas[path]).parquet(path)
 
 
 def _date_id(ts: str) -> Column:

@@ -81,18 +81,20 @@ def weekly_consumption_sql(
     calendar.createOrReplaceTempView("almanack_calendar")
     stores.createOrReplaceTempView("almanack_store")
     products.createOrReplaceTempView("almanack_product")
+    # As in weekly_sales, the numbers of a key are grouped and its text comes last.
     keyed = spark.sql("""
-        SELECT concat('Y', date_year % 1000, '_W', week_number) AS week,
+        SELECT CASE WHEN week_number IS NOT NULL THEN date_year % 1000 END AS short_year,
+               CASE WHEN date_year IS NOT NULL THEN week_number END AS season_week,
                store_id, product_id, sales_units, net_sales
         FROM almanack_sales JOIN almanack_calendar
           ON almanack_sales.date_id = almanack_calendar.date_id
     """)
     keyed.createOrReplaceTempView("almanack_keyed_sales")
     summed = spark.sql("""
-        SELECT week, store_id, product_id,
+        SELECT concat('Y', short_year, '_W', season_week) AS week, store_id, product_id,
                sum(sales_units) AS `Sales Units`, round(sum(net_sales), 2) AS `Net Sales`
         FROM almanack_keyed_sales
-        GROUP BY week, store_id, product_id
+        GROUP BY short_year, season_week, store_id, product_id
     """)
     summed.createOrReplaceTempView("almanack_weekly_sales")
     return spark.sql("""

@@ -32,13 +32,26 @@ def local_session(app: str = "almanack", cores: int | str = "*") -> SparkSession
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path for files that one job writes and a later one reads.
 
-    The cluster names a folder that all executors share in
-    ``spark.checkpoint.dir``. Only a local session may do without, and then
-    gets a temporary folder of this machine.
+    They are removed when the session's JVM ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    folder = fresh_folder(spark.conf)
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/{name}"
+
+
+def fresh_folder(conf) -> str:
+    """A folder of its own within the one the cluster shares.
+
+    The cluster names that one in ``spark.checkpoint.dir``. Only a local session
+    may do without, and then gets a temporary folder of this machine.
+    """
+    shared = conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/almanack-{uuid.uuid4().hex}/{name}"
-    if not spark.conf.get("spark.master").startswith("local"):
+        return f"{shared.rstrip('/')}/almanack-{uuid.uuid4().hex}"
+    if not conf.get("spark.master").startswith("local"):
         raise ValueError("spark.checkpoint.dir names no folder that the executors share")
-    return f"{tempfile.mkdtemp(prefix='almanack-')}/{name}"
+    return tempfile.mkdtemp(prefix="almanack-")

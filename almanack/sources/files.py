@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 def read_csv(
     spark: SparkSession,
     path: str,
-    schema: StructType,
+    schema: StructType | str,
     *,
     header: bool = False,
     sep: str = ",",

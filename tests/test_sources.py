@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 
 from almanack import schemas
 from almanack import sources as S
-from almanack.session import staging_path
+from almanack.session import fresh_folder, staging_path
 from almanack.sources.records import STATION_SLICES, WEATHER_FIELDS
 
 def rows(df):
@@ -125,13 +125,16 @@ def test_sinks(spark, tmp_path):
     assert sorted(r.value for r in text.collect()) == ["1, a, 2.5", "2, null, 3.0"]
 
 
-def test_staging_follows_the_shared_folder(spark):
-    class Cluster:
-        conf = {"spark.master": "yarn", "spark.checkpoint.dir": "/shared/folder/"}
-
-    one, two = staging_path(Cluster, "x"), staging_path(Cluster, "x")
+def test_staging_is_in_the_shared_folder():
+    cluster = {"spark.master": "yarn", "spark.checkpoint.dir": "/shared/folder/"}
+    one, two = fresh_folder(cluster), fresh_folder(cluster)
     assert one.startswith("/shared/folder/almanack-") and one != two
-    assert staging_path(spark, "x") != staging_path(spark, "x")
-    Cluster.conf = {"spark.master": "yarn"}
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging_path(Cluster, "x")
+        fresh_folder({"spark.master": "yarn"})
+
+
+def test_staged_files_have_a_folder_of_their_own(spark):
+    one, two = staging_path(spark, "x"), staging_path(spark, "x")
+    assert one != two
+    spark.range(3).write.csv(one)
+    assert spark.read.csv(one).count() == 3

@@ -77,18 +77,21 @@ def contains_join(
         table = known if len(keys) == len(needles) else known.select(*keys).distinct()
         if measured["size"] <= max_broadcast_bytes:
             table = F.broadcast(table)
-        pieces = _substrings(text, measured["lengths"][i])
-        found = found.withColumn(needles[i], F.explode(pieces)).join(table, list(keys))
+        found = _with_substrings(found, text, measured["lengths"][i], needles[i])
+        found = found.join(table, list(keys))
     return found.select(*left.columns, *right.columns)
 
 
-def _substrings(text: str, lengths: Sequence[int]) -> Column:
-    """The distinct substrings of the given lengths."""
+def _with_substrings(df: DataFrame, text: str, lengths: Sequence[int], name: str) -> DataFrame:
+    """A row for each distinct substring of the text that has one of the lengths.
 
-    def of_length(n: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length(text) - n + 1)
-        return F.transform(starts, lambda at: F.substring(F.col(text), at, n))
-
-    wanted = F.array(*(F.lit(n) for n in sorted(lengths))).cast("array<int>")
-    fitting = F.filter(wanted, lambda n: n <= F.length(text))
-    return F.array_distinct(F.flatten(F.transform(fitting, of_length)))
+    Rows are made position by position, inside generated code. A substring that
+    occurs again is kept where it occurs first, which takes no grouping.
+    """
+    at, size = F.col("_at"), F.length(text)
+    cuts = [
+        F.when(at + n - 1 <= size, F.substring(F.col(text), at, F.lit(n))) for n in sorted(lengths)
+    ]
+    starts = df.withColumn("_at", F.explode(F.sequence(F.lit(1), size + 1)))
+    pieces = starts.withColumn(name, F.explode(F.array(*cuts).cast("array<string>")))
+    return pieces.filter(F.instr(F.col(text), F.col(name)) == at).drop("_at")

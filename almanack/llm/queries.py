@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .packing import pack_documents
+from .pii import find_personal_data
 from .repetition import repetition_rules
+from .secrets import find_secrets
 from .storage import shared_folder
 from .token_files import token_digests, write_token_files
 
@@ -42,3 +44,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(_table(spark, sf_dir, "documents"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import contaminated
 from .packing import pack_documents
 from .pii import find_personal_data
 from .repetition import repetition_rules
@@ -54,3 +55,8 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))

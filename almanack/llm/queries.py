@@ -14,6 +14,7 @@ from .repetition import repetition_rules
 from .secrets import find_secrets
 from .storage import shared_folder
 from .token_files import token_digests, write_token_files
+from .warc import read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +61,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark, 'op8')}/warc"
+    write_warc(_table(spark, sf_dir, "pages"), folder)
+    return read_warc(spark, folder)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import contaminated
 from .packing import pack_documents
+from .parity import jaccard_components
 from .pii import find_personal_data
 from .repetition import repetition_rules
 from .secrets import find_secrets
@@ -68,3 +69,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark, 'op8')}/warc"
     write_warc(_table(spark, sf_dir, "pages"), folder)
     return read_warc(spark, folder)
+
+
+@_query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))

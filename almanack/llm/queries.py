@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .cotraining import classify_quality
 from .decontaminate import contaminated
+from .licenses import scan_licences
 from .packing import pack_documents
 from .parity import jaccard_components
 from .pii import find_personal_data
@@ -74,3 +76,13 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))

@@ -8,9 +8,10 @@ parameter, so the same table gives the same records.
 
 Of the records with one payload (of at least ``least_bytes``), the one with the smallest
 page_id is a response; the others are revisits without payload, which name it and keep
-digest and length. The first page_ids come from an aggregate with partial sums; the join
+digest and length. The first page_ids come from an aggregate with partial results; the join
 back carries page_id and digest alone, so a payload that a third of the pages share costs one
-narrow skewed join, which adaptive execution splits.
+narrow skewed join, which adaptive execution splits. The references then meet the pages in
+the range sort.
 
 A null html is an empty payload, a null url an empty target. Null page_ids come first and
 are always responses. Repeated page_ids: each row is a record; rows that share page_id and
@@ -77,24 +78,22 @@ def record(page_id, url, payload: bytes, refers_to, digest: str, size: int, date
 
 
 def with_references(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """page_id, url, html (null for revisits), digest in hex, size and refers_to."""
+    """The pages, and a row without html before each page that revisits another.
+
+    Both kinds have page_id, digest in hex and ``refers_to`` (null: a page). They meet when
+    sorted, so that the html is shuffled once, and not for a join as well.
+    """
     html = F.coalesce("html", F.lit(""))
-    size = F.octet_length(html).cast("long")
-    pages = pages.select(
-        "page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("digest"), size.alias("size")
-    )
-    narrow = pages.select("page_id", "digest", "size")
+    digest = F.sha1(html.cast("binary")).alias("digest")
+    narrow = pages.select("page_id", digest, F.octet_length(html).alias("size"))
     groups = narrow.where(F.col("size") >= least_bytes).groupBy("digest")
     groups = groups.agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     groups = groups.where("n > 1").select("digest", "first")
-    later = (
-        narrow.join(groups, "digest")
-        .where(F.col("page_id") > F.col("first"))
-        .select("page_id", "digest", F.col("first").alias("refers_to"))
-        .dropDuplicates()
-    )
-    found = pages.join(later, ["page_id", "digest"], "left")
-    return found.withColumn("html", F.when(F.col("refers_to").isNull(), F.col("html")))
+    later = narrow.join(groups, "digest").where(F.col("page_id") > F.col("first"))
+    nothing = F.lit(None).cast("string")
+    later = later.select("page_id", nothing, nothing, "digest", F.col("first").alias("refers_to"))
+    first = pages.select("page_id", "url", "html", digest, F.lit(None).cast("long").alias("refers_to"))
+    return first.union(later.dropDuplicates())
 
 
 def write_warc(
@@ -109,6 +108,7 @@ def write_warc(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = filesystem(folder)
         task, out, seq, size, n = TaskContext.get().partitionId(), None, 0, 0, 0
+        revisit = None  # page_id, digest and reference of the last row that announced one
 
         def row() -> pa.RecordBatch:
             out.close()
@@ -117,12 +117,13 @@ def write_warc(
 
         for batch in batches:
             for i in range(len(batch)):
-                page_id, url, html, digest, length, refers_to = (c[i].as_py() for c in batch.columns)
+                page_id, url, html, known, refers_to = (c[i].as_py() for c in batch.columns)
+                if refers_to is not None:
+                    revisit = page_id, known, refers_to
+                    continue
+                refers_to = revisit[2] if revisit and revisit[:2] == (page_id, known) else None
                 payload = (html or "").encode()
-                if refers_to is None:
-                    digest, length = sha1_base32(payload), len(payload)
-                else:
-                    digest = base64.b32encode(bytes.fromhex(digest)).decode()
+                digest, length = sha1_base32(payload), len(payload)
                 if out is None:
                     files.create_dir(f"{path}/_temporary", recursive=True)
                     name = uuid.uuid4().hex
@@ -139,11 +140,9 @@ def write_warc(
             yield row()
 
     ordered = with_references(pages, least_bytes).repartitionByRange("page_id")
-    columns = ("page_id", "url", "html", "digest", "size", "refers_to")
-    written = (
-        ordered.sortWithinPartitions("page_id", "digest", "url")
-        .select(*columns)
-        .mapInArrow(work, "name string, n_records long, bytes long, task long, seq long")
+    ordered = ordered.sortWithinPartitions("page_id", "digest", F.col("refers_to").desc_nulls_last(), "url")
+    written = ordered.mapInArrow(
+        work, "name string, n_records long, bytes long, task long, seq long"
     )
     commit(folder, sorted(written.collect(), key=lambda r: (r.task, r.seq)), "warc.gz")
 

@@ -52,46 +52,71 @@ def contains_join(
     Case matters, an empty needle is in every text, and a NULL matches nothing.
 
     Comparing each text with each needle would be a cross join. Here a text is
-    looked up by its distinct substrings, of only those lengths that the
-    needles have: an equi join. The needles are taken one after the other, the
-    one with most different values first, and each step looks up what the texts
-    hold of the needles so far. So no candidate is made that lacks a needle,
-    also where many right rows share one, and the work grows with the texts and
-    their matches.
+    looked up by its substrings whose length is a power of two: these are the
+    heads of needles, each as long as the largest power within the needle. A
+    head that is found gives the lengths of its needles, and the substrings of
+    these lengths are looked up as needles: equi joins only, and a plan that
+    grows with the logarithm of the longest needle. The needles are taken one
+    after the other, the one with most different values first, and each step
+    looks up what the texts hold of the needles so far. So no candidate is made
+    that lacks a needle, also where many right rows share one.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
     known = right.dropna(subset=list(needles))
-    # One job measures the needles: their bytes, how many there are, how long they are.
+    # One job measures the needles: their bytes, how many there are, the longest.
     measured = known.agg(
         value_bytes(known).alias("size"),
         F.array(*(F.approx_count_distinct(n) for n in needles)).alias("distinct"),
-        F.array(*(F.collect_set(F.length(n)) for n in needles)).alias("lengths"),
+        F.array(*(F.coalesce(F.max(F.length(n)), F.lit(0)) for n in needles)).alias("longest"),
     ).first()
     order = sorted(range(len(needles)), key=lambda i: -measured["distinct"][i])
     keys: list[str] = []
     found = left
+
+    def sized(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if measured["size"] <= max_broadcast_bytes else table
+
     for i in order:
-        keys.append(needles[i])
+        name, before = needles[i], list(keys)
+        keys.append(name)
         table = known if len(keys) == len(needles) else known.select(*keys).distinct()
-        if measured["size"] <= max_broadcast_bytes:
-            table = F.broadcast(table)
-        found = _with_substrings(found, text, measured["lengths"][i], needles[i])
-        found = found.join(table, list(keys))
+        heads = known.select(*before, *_head(F.col(name))).distinct()
+        hits = _with_heads(found, text, measured["longest"][i]).join(
+            sized(heads), [*before, "_power", "_head"]
+        )
+        at, size = F.col("_at"), F.col("_size")
+        whole = hits.filter(at + size - 1 <= F.length(text)).withColumn(
+            name, F.substring(F.col(text), at, size)
+        )
+        found = whole.join(sized(table), list(keys))
+        # A needle that occurs again counts where it occurs first.
+        found = found.filter(F.instr(F.col(text), F.col(name)) == at)
+        found = found.drop("_at", "_power", "_head", "_size")
     return found.select(*left.columns, *right.columns)
 
 
-def _with_substrings(df: DataFrame, text: str, lengths: Sequence[int], name: str) -> DataFrame:
-    """A row for each distinct substring of the text that has one of the lengths.
+def _head(needle: Column) -> list[Column]:
+    """The largest power of two within the length (0: an empty needle), the head, the length."""
+    size = F.length(needle)
+    power = F.when(size > 0, F.pow(F.lit(2), F.length(F.bin(size)) - 1)).otherwise(0)
+    power = power.cast("int")
+    return [
+        power.alias("_power"),
+        F.substring(needle, F.lit(1), power).alias("_head"),
+        size.alias("_size"),
+    ]
+
 
-    Rows are made position by position, inside generated code. A substring that
-    occurs again is kept where it occurs first, which takes no grouping.
-    """
+def _with_heads(df: DataFrame, text: str, longest: int) -> DataFrame:
+    """A row for each position of the text and each power of two that fits there."""
+    powers = [0, *(1 << k for k in range(longest.bit_length()))]
     at, size = F.col("_at"), F.length(text)
-    cuts = [
-        F.when(at + n - 1 <= size, F.substring(F.col(text), at, F.lit(n))) for n in sorted(lengths)
-    ]
-    starts = df.withColumn("_at", F.explode(F.sequence(F.lit(1), size + 1)))
-    pieces = starts.withColumn(name, F.explode(F.array(*cuts).cast("array<string>")))
-    return pieces.filter(F.instr(F.col(text), F.col(name)) == at).drop("_at")
+    starts = df.withColumn("_at", F.explode(F.sequence(F.lit(1), F.greatest(size, F.lit(1)))))
+    fits = F.filter(
+        F.array(*map(F.lit, powers)),
+        lambda p: F.when(p == 0, at == 1).otherwise(at + p - 1 <= size),
+    )
+    pieces = starts.withColumn("_power", F.explode(fits))
+    return pieces.withColumn("_head", F.substring(F.col(text), at, F.col("_power")))

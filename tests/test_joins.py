@@ -94,6 +94,19 @@ def test_contains_makes_no_candidate_that_lacks_a_needle(spark, settings):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_contains_with_many_lengths_in_long_texts(spark):
+    """The plan does not grow with the number of different lengths."""
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choices("ab c", k=1500)) for _ in range(12)]
+    needles = [(texts[n % 12][n : 2 * n + 1], "b") for n in range(400)]
+    few = contains_join(titles(spark, "x"), counties(spark, *needles[:9]), "title", ["county", "state"])
+    joined = contains_join(
+        titles(spark, *texts), counties(spark, *needles), "title", ["county", "state"]
+    )
+    assert plan(joined).count("\n") == plan(few).count("\n")
+    assert matches(spark, texts, needles) == brute_force(texts, needles)
+
+
 def test_contains_with_one_and_with_three_needles(spark):
     texts = ["abcde", "abde", "xyz"]
     one = contains_join(titles(spark, *texts), counties(spark, ("bc", "")), "title", ["county"])

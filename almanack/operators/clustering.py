@@ -9,7 +9,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CENTERS = 10_000
+#: Centers that reach the tasks in one array.
+BLOCK_CENTERS = 10_000
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str) -> DataFrame:
@@ -34,34 +35,42 @@ def nearest_center(
     centers: DataFrame,
     columns: Sequence[str],
     center: str = "cluster",
-    max_centers: int = MAX_CENTERS,
+    block_centers: int = BLOCK_CENTERS,
 ) -> DataFrame:
     """Add the nearest center's number (the smaller on a tie) to each point.
 
     ``centers`` has the number in column ``center`` and the same coordinate
-    columns as the points. The centers reach the tasks as one array, so a point
-    is never paired with a center in a row of its own and nothing is shuffled.
-    More than ``max_centers`` centers raise an error.
+    columns as the points. The centers are counted and reach the tasks in arrays
+    of about ``block_centers``, one after the other; a point keeps the nearest so
+    far. So a point is never paired with a center in a row of its own and nothing
+    is shuffled. A coordinate that is NULL or NaN gives NULL.
     """
+    blocks = max(1, -(-centers.count() // block_centers))
     packed = F.struct(
         F.col(center).alias("number"),
         *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)),
     )
-    all_centers = centers.limit(max_centers + 1).agg(F.collect_list(packed).alias("all"))
-    checked = F.when(F.size("all") <= max_centers, F.sort_array("all")).otherwise(
-        F.raise_error(F.lit(f"more than {max_centers} centers"))
-    )
 
     def distance(c: Column) -> Column:
         squares = [(F.col(x) - c[f"x{i}"]) * (F.col(x) - c[f"x{i}"]) for i, x in enumerate(columns)]
         return sum(squares[1:], squares[0])
 
-    # In order of their numbers, the first of the nearest has the smallest. Spark
-    # takes no subquery inside a higher-order function, hence the columns.
-    first = F.array_position("_distances", F.array_min("_distances"))
-    return (
-        points.withColumn("_centers", all_centers.select(checked).scalar())
-        .withColumn("_distances", F.transform("_centers", distance))
-        .withColumn(center, F.try_element_at("_centers", first.cast("int"))["number"])
-        .drop("_centers", "_distances")
-    )
+    # Spark takes no subquery inside a higher-order function, hence the columns.
+    found = points.withColumn("_best", F.lit(None))
+    for block in range(blocks):
+        own = centers.filter(F.pmod(F.xxhash64(center), F.lit(blocks)) == block)
+        array = own.agg(F.sort_array(F.collect_list(packed)).alias("all"))
+        found = found.withColumn("_centers", array.scalar())
+        found = found.withColumn("_distances", F.transform("_centers", distance))
+        # In order of their numbers, the first of the nearest has the smallest.
+        least = F.array_min("_distances")
+        first = F.array_position("_distances", least).cast("int")
+        number = F.try_element_at("_centers", first)["number"]
+        nearest = F.when(
+            least.isNotNull() & ~F.isnan(least),
+            F.struct(least.alias("distance"), number.alias("number")),
+        )
+        # least() passes over NULL: no center so far, or none at a distance.
+        best = nearest if block == 0 else F.least("_best", nearest)
+        found = found.withColumn("_best", best).drop("_centers", "_distances")
+    return found.withColumn(center, F.col("_best")["number"]).drop("_best")

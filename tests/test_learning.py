@@ -73,13 +73,35 @@ def test_nearest_center_takes_the_smaller_number_on_a_tie(spark):
     assert O.nearest_center(points, centers, ["x"]).first().cluster == 2
 
 
-def test_nearest_center_pairs_no_rows_and_bounds_the_centers(spark):
+def test_nearest_center_pairs_no_rows(spark):
     points = spark.range(5).select(F.col("id").cast("double").alias("x"))
     centers = points.select("x", F.monotonically_increasing_id().alias("cluster"))
-    found = O.nearest_center(points, centers, ["x"])
+    found = O.nearest_center(points, centers, ["x"], block_centers=2)
     assert "Join" not in plan(found) and "Product" not in plan(found)
-    with pytest.raises((PySparkException, Py4JJavaError), match="more than 4 centers"):
-        O.nearest_center(points, centers, ["x"], max_centers=4).collect()
+
+
+def test_nearest_of_many_centers(spark):
+    """More centers than one array takes."""
+    n = 12_000
+    centers = spark.range(n).select(
+        F.col("id").cast("int").alias("cluster"), (F.col("id") * 7919 % n / 3).alias("x")
+    )
+    points = spark.range(40).select((F.col("id") * 97.3).alias("x"))
+    places = np.array([i * 7919 % n / 3 for i in range(n)])
+    wanted = {x: int(np.argmin((places - x) ** 2)) for x in (i * 97.3 for i in range(40))}
+    for block in (10_000, 1_700):
+        found = O.nearest_center(points, centers, ["x"], block_centers=block).collect()
+        assert {r.x: r.cluster for r in found} == wanted
+
+
+@pytest.mark.parametrize("block", [1, 10])
+def test_nearest_center_of_no_place_is_null(spark, block):
+    rows = [(1, 1.0), (2, float("nan")), (3, None)]
+    points = spark.createDataFrame(rows, "n int, x double")
+    centers = spark.createDataFrame([(7, 0.0), (8, 3.0), (9, float("nan"))], "cluster int, x double")
+    found = O.nearest_center(points, centers, ["x"], block_centers=block).collect()
+    assert {r.n: r.cluster for r in found} == {1: 7, 2: None, 3: None}
+    assert O.nearest_center(points, centers.limit(0), ["x"]).first().cluster is None
 
 
 def wave(days, shape):

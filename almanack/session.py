@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,14 +43,10 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 
 def fresh_folder(conf) -> str:
-    """A folder of its own within the one the cluster shares.
+    """A folder of its own within one that driver and executors share.
 
-    The cluster names that one in ``spark.checkpoint.dir``. Only a local session
-    may do without, and then gets a temporary folder of this machine.
+    The cluster names that in ``spark.checkpoint.dir``; where that is unset, it is
+    the warehouse, which Spark shares as well.
     """
-    shared = conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/almanack-{uuid.uuid4().hex}"
-    if not conf.get("spark.master").startswith("local"):
-        raise ValueError("spark.checkpoint.dir names no folder that the executors share")
-    return tempfile.mkdtemp(prefix="almanack-")
+    shared = conf.get("spark.checkpoint.dir", None) or conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/almanack-{uuid.uuid4().hex}"

@@ -129,8 +129,8 @@ def test_staging_is_in_the_shared_folder():
     cluster = {"spark.master": "yarn", "spark.checkpoint.dir": "/shared/folder/"}
     one, two = fresh_folder(cluster), fresh_folder(cluster)
     assert one.startswith("/shared/folder/almanack-") and one != two
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        fresh_folder({"spark.master": "yarn"})
+    unset = {"spark.sql.warehouse.dir": "file:/warehouse"}
+    assert fresh_folder(unset).startswith("file:/warehouse/almanack-")
 
 
 def test_staged_files_have_a_folder_of_their_own(spark):

@@ -15,7 +15,9 @@ from almanack.functions import season_week_key, underscored
 from almanack.operators.joins import BROADCAST_BYTES, bounded_broadcast
 
 
-def weekly_sales(sales: DataFrame, calendar: DataFrame) -> DataFrame:
+def weekly_sales(
+    sales: DataFrame, calendar: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Units and net sales, in cents rounded once, by week, store and product."""
     # The key is text made of two small numbers. Grouping by the numbers keeps
     # text out of the hash tables and the shuffle; the text is made per group. A
@@ -26,7 +28,8 @@ def weekly_sales(sales: DataFrame, calendar: DataFrame) -> DataFrame:
         F.when(week.isNotNull(), year).alias("short_year"),
         F.when(year.isNotNull(), week).alias("season_week"),
     )
-    s, c = sales.alias("s"), weeks.alias("c")
+    # A sale must not be shuffled by its day: the days are few and all fat.
+    s, c = sales.alias("s"), bounded_broadcast(weeks, max_broadcast_bytes).alias("c")
     summed = (
         s.join(c, F.col("s.date_id") == F.col("c.date_id"))
         .groupBy("short_year", "season_week", "store_id", "product_id")
@@ -56,7 +59,8 @@ def weekly_consumption(
     products = bounded_broadcast(
         product.select("product_id", "division", "gender", "category"), max_broadcast_bytes
     )
-    located = weekly_sales(sales, calendar).join(stores, "store_id").join(products, "product_id")
+    weekly = weekly_sales(sales, calendar, max_broadcast_bytes)
+    located = weekly.join(stores, "store_id").join(products, "product_id")
     return located.select(
         underscored("week", "country", "division", "gender", "category").alias("id"),
         "sales_units",
@@ -72,35 +76,29 @@ def weekly_consumption_sql(
     product: DataFrame,
     max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The same result from SQL text over temporary views."""
-    stores = bounded_broadcast(store.select("store_id", "country"), max_broadcast_bytes)
-    products = bounded_broadcast(
-        product.select("product_id", "division", "gender", "category"), max_broadcast_bytes
+    """The same result from one SQL statement; it leaves no view in the session."""
+    return spark.sql(
+        """
+        SELECT concat('Y', week.year, '_W', week.number, '_', country, '_', division, '_',
+                      gender, '_', category) AS id,
+               week.`Sales Units` AS sales_units, round(week.`Net Sales`, 2) AS net_sales
+        FROM (
+          SELECT day.year, day.number, store_id, product_id,
+                 sum(sales_units) AS `Sales Units`, sum(net_sales) AS `Net Sales`
+          FROM {sales} JOIN (
+            SELECT date_id, IF(week_number IS NULL, NULL, date_year % 1000) AS year,
+                   IF(date_year IS NULL, NULL, week_number) AS number
+            FROM {days}) AS day USING (date_id)
+          GROUP BY ALL) AS week
+        JOIN {stores} USING (store_id)
+        JOIN {products} USING (product_id)
+        """,
+        sales=sales,
+        days=bounded_broadcast(
+            calendar.select("date_id", "date_year", "week_number"), max_broadcast_bytes
+        ),
+        stores=bounded_broadcast(store.select("store_id", "country"), max_broadcast_bytes),
+        products=bounded_broadcast(
+            product.select("product_id", "division", "gender", "category"), max_broadcast_bytes
+        ),
     )
-    sales.createOrReplaceTempView("almanack_sales")
-    calendar.createOrReplaceTempView("almanack_calendar")
-    stores.createOrReplaceTempView("almanack_store")
-    products.createOrReplaceTempView("almanack_product")
-    # As in weekly_sales, the numbers of a key are grouped and its text comes last.
-    keyed = spark.sql("""
-        SELECT CASE WHEN week_number IS NOT NULL THEN date_year % 1000 END AS short_year,
-               CASE WHEN date_year IS NOT NULL THEN week_number END AS season_week,
-               store_id, product_id, sales_units, net_sales
-        FROM almanack_sales JOIN almanack_calendar
-          ON almanack_sales.date_id = almanack_calendar.date_id
-    """)
-    keyed.createOrReplaceTempView("almanack_keyed_sales")
-    summed = spark.sql("""
-        SELECT concat('Y', short_year, '_W', season_week) AS week, store_id, product_id,
-               sum(sales_units) AS `Sales Units`, round(sum(net_sales), 2) AS `Net Sales`
-        FROM almanack_keyed_sales
-        GROUP BY short_year, season_week, store_id, product_id
-    """)
-    summed.createOrReplaceTempView("almanack_weekly_sales")
-    return spark.sql("""
-        SELECT concat(week, '_', country, '_', division, '_', gender, '_', category) AS id,
-               `Sales Units` AS sales_units, `Net Sales` AS net_sales
-        FROM almanack_weekly_sales
-        JOIN almanack_store ON almanack_weekly_sales.store_id = almanack_store.store_id
-        JOIN almanack_product ON almanack_weekly_sales.product_id = almanack_product.product_id
-    """)

@@ -1,77 +1,98 @@
 """Weekly report: one document per year, channel, division, gender and category.
 
 A document has two data rows, net sales and units, with a value for each week
-W1 to W52 and 0 for a week without sales.
+W1 to W52 and 0 for a week without sales. Sales of any other week, or of none,
+are in ``W_other``, so that a row's weeks add up to its sales.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanack.functions import underscored
 from almanack.operators.joins import BROADCAST_BYTES, bounded_broadcast
 
 WEEKS = 52
+OTHER = "W_other"
 NET_SALES, SALES_UNITS = "Net Sales", "Sales Units"
 KEYS = ("year", "channel", "division", "gender", "category")
 
 
-def weekly_report(
+def _wide(
     sales: DataFrame,
     calendar: DataFrame,
     store: DataFrame,
     product: DataFrame,
-    weeks: int = WEEKS,
-    max_broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Long form: ``unique_key``, the keys, ``row_id`` and W1 … W52.
+    weeks: int,
+    max_broadcast_bytes: int,
+) -> tuple[DataFrame, list[str]]:
+    """A row for each key with the sums of each week, as ``net_W1``, ``units_W1`` and so on.
 
-    A sale in a week outside 1 … ``weeks`` raises an error, because the report
-    has no column for it.
+    The sales are summed by week, store and product first, as numbers, and only
+    these sums meet the dimensions and are gathered by key.
     """
-    channels = store.select("store_id", F.upper("channel").alias("channel"))
-    stores = bounded_broadcast(channels, max_broadcast_bytes)
-    products = bounded_broadcast(
-        product.select("product_id", "division", "gender", "category"), max_broadcast_bytes
-    )
     dates = calendar.select(
         "date_id", (F.col("date_year") % 1000).alias("year"), F.col("week_number").alias("week")
     )
-    known_week = F.when(F.col("week").between(1, weeks), F.col("week")).otherwise(
-        F.raise_error(F.format_string("week %d is not in the report", "week"))
-    )
-    # The keys are few, so sums by key in each map task leave little to shuffle.
-    keyed = (
-        sales.join(dates, "date_id")
-        .join(stores, "store_id")
-        .join(products, "product_id")
-        .withColumn("week", known_week)
-    )
-    numbers = list(range(1, weeks + 1))
-    wide = (
-        keyed.groupBy(*KEYS)
-        .pivot("week", numbers)
+    stores = store.select("store_id", F.upper("channel").alias("channel"))
+    products = product.select("product_id", "division", "gender", "category")
+    sums = (
+        sales.join(bounded_broadcast(dates, max_broadcast_bytes), "date_id")
+        .groupBy("year", "week", "store_id", "product_id")
         .agg(F.sum("net_sales").alias("net"), F.sum("sales_units").cast("double").alias("units"))
     )
+    keyed = sums.join(bounded_broadcast(stores, max_broadcast_bytes), "store_id").join(
+        bounded_broadcast(products, max_broadcast_bytes), "product_id"
+    )
+    named = F.coalesce(F.col("week").between(1, weeks), F.lit(False))
+    columns = {f"W{n}": F.col("week") == n for n in range(1, weeks + 1)} | {OTHER: ~named}
+    totals = [
+        F.coalesce(F.round(F.sum(F.when(one, F.col(measure))), 2), F.lit(0.0)).alias(f"{measure}_{w}")
+        for measure in ("net", "units")
+        for w, one in columns.items()
+    ]
+    wide = keyed.groupBy(*KEYS).agg(*totals)
+    wide = wide.withColumn("year", F.concat(F.lit("RY"), F.col("year").cast("string")))
+    return wide.withColumn("unique_key", underscored(*KEYS)), list(columns)
+
+
+def _weeks(measure: str, columns: list[str]) -> Column:
+    return F.struct(*(F.col(f"{measure}_{w}").alias(w) for w in columns))
 
-    def row(row_id: str, measure: str) -> str:
-        filled = (f"coalesce(round(`{n}_{measure}`, 2), 0D) AS W{n}" for n in numbers)
-        return f"struct('{row_id}' AS row_id, {', '.join(filled)})"
 
-    rows = F.expr(f"explode(array({row(NET_SALES, 'net')}, {row(SALES_UNITS, 'units')}))")
-    named = wide.withColumn("year", F.concat(F.lit("RY"), F.col("year").cast("string")))
-    return named.select(underscored(*KEYS).alias("unique_key"), *KEYS, rows.alias("data")).select(
-        "unique_key", *KEYS, "data.*"
+def weekly_report(
+    sales: DataFrame,
+    calendar: DataFrame,
+    store: DataFrame,
+    product: DataFrame,
+    weeks: int = WEEKS,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Long form: ``unique_key``, the keys, ``row_id``, W1 … W52 and ``W_other``."""
+    wide, columns = _wide(sales, calendar, store, product, weeks, max_broadcast_bytes)
+    rows = F.array(
+        F.struct(F.lit(NET_SALES).alias("row_id"), _weeks("net", columns).alias("weeks")),
+        F.struct(F.lit(SALES_UNITS).alias("row_id"), _weeks("units", columns).alias("weeks")),
+    )
+    return wide.select("unique_key", *KEYS, F.explode(rows).alias("data")).select(
+        "unique_key", *KEYS, "data.row_id", "data.weeks.*"
     )
 
 
-def weekly_report_json(report: DataFrame) -> DataFrame:
+def weekly_report_json(
+    sales: DataFrame,
+    calendar: DataFrame,
+    store: DataFrame,
+    product: DataFrame,
+    weeks: int = WEEKS,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """One JSON document per key, in ``value``. A document always has two rows."""
-    weeks = [c for c in report.columns if c.startswith("W") and c[1:].isdigit()]
-    data_row = F.struct(F.col("row_id").alias("rowId"), F.struct(*weeks).alias("dataRow"))
-    documents = report.groupBy("unique_key", *KEYS).agg(
-        F.sort_array(F.collect_list(data_row)).alias("rows")
+    wide, columns = _wide(sales, calendar, store, product, weeks, max_broadcast_bytes)
+    data_rows = F.array(
+        F.struct(F.lit(NET_SALES).alias("rowId"), _weeks("net", columns).alias("dataRow")),
+        F.struct(F.lit(SALES_UNITS).alias("rowId"), _weeks("units", columns).alias("dataRow")),
     )
     document = F.struct(
         F.col("unique_key").alias("uniqueKey"),
@@ -80,6 +101,6 @@ def weekly_report_json(report: DataFrame) -> DataFrame:
         "category",
         "channel",
         "year",
-        F.col("rows").alias("dataRows"),
+        data_rows.alias("dataRows"),
     )
-    return documents.select(F.to_json(document).alias("value"))
+    return wide.select(F.to_json(document).alias("value"))

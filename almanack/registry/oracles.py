@@ -1,7 +1,7 @@
 """The SQL that each query must agree with, over the same tables.
 
-Column names, rounding and text forms follow ``queries.py``. Queries whose
-rows depend on a random seed (k-means, samples) have none.
+Column names, rounding and text forms follow ``queries.py``. Of what depends on a
+random seed (k-means, samples), the queries tell what holds for any seed.
 """
 
 from __future__ import annotations
@@ -13,31 +13,27 @@ _DECADE = f"({_YEAR} - {_YEAR} % 10)"
 # The sales star ------------------------------------------------------------
 
 _WEEKLY_CONSUMPTION = """
-WITH keyed AS (
-  SELECT 'Y' || CAST(year(l_shipdate) % 1000 AS VARCHAR) || '_W'
-           || CAST(((dayofyear(l_shipdate) - 1) // 7) % 13 + 1 AS VARCHAR) AS week,
-         l_suppkey, l_partkey, l_quantity, l_extendedprice
-  FROM lineitem),
-summed AS (
-  SELECT week, l_suppkey, l_partkey,
-         CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS sales_units,
-         round(sum(l_extendedprice), 2) AS net_sales
-  FROM keyed GROUP BY ALL)
-SELECT week || '_' || n_name || '_' || p_brand || '_' || p_type || '_' || p_name AS id,
-       sales_units, net_sales
-FROM summed
+SELECT concat_ws('_', 'Y' || year(l_shipdate) % 1000,
+                 'W' || (((dayofyear(l_shipdate) - 1) // 7) % 13 + 1),
+                 r_name, p_type, left(p_type, 3), lower(p_type)) AS id,
+       CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS sales_units,
+       round(sum(l_extendedprice), 2) AS net_sales
+FROM lineitem
 JOIN supplier ON l_suppkey = s_suppkey
 JOIN nation ON s_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey
 JOIN part ON l_partkey = p_partkey
+GROUP BY year(l_shipdate), ((dayofyear(l_shipdate) - 1) // 7) % 13, r_name, p_type
 """
 
-_REPORT_WEEK = "least((dayofyear(l_shipdate) - 1) // 7 + 1, 52)"
+_REPORT_WEEK = "(dayofyear(l_shipdate) - 1) // 7 + 1"
+_REPORT_COLUMNS = [(f"W{n}", f"week = {n}") for n in range(1, 53)] + [("W_other", "week > 52")]
 
 
 def _report_rows(row_id: str, measure: str) -> str:
     weeks = ", ".join(
-        f"round(coalesce(sum(CASE WHEN week = {n} THEN {measure} END), 0), 2) AS W{n}"
-        for n in range(1, 53)
+        f"round(coalesce(sum({measure}) FILTER ({one}), 0), 2) AS {name}"
+        for name, one in _REPORT_COLUMNS
     )
     return f"""
 SELECT concat_ws('_', year, channel, division, gender, category) AS unique_key,
@@ -46,8 +42,7 @@ FROM keyed GROUP BY year, channel, division, gender, category
 """
 
 
-_WEEKLY_REPORT = f"""
-WITH keyed AS (
+_REPORT_SALES = f"""
   SELECT 'RY' || CAST(year(l_shipdate) % 1000 AS VARCHAR) AS year, upper(r_name) AS channel,
          p_type AS division, split_part(p_name, ' ', 1) AS gender,
          split_part(p_name, ' ', 2) AS category, {_REPORT_WEEK} AS week,
@@ -56,12 +51,30 @@ WITH keyed AS (
   JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
-  JOIN part ON l_partkey = p_partkey)
+  JOIN part ON l_partkey = p_partkey
+"""
+
+_WEEKLY_REPORT = f"""
+WITH keyed AS ({_REPORT_SALES})
 {_report_rows("Net Sales", "net")}
 UNION ALL
 {_report_rows("Sales Units", "units")}
 """
 
+_WEEKS_JSON = " || ',' || ".join(f"""'"{name}":' || {name}""" for name, _ in _REPORT_COLUMNS)
+
+_WEEKLY_DOCUMENTS = f"""
+WITH report AS ({_WEEKLY_REPORT}),
+data_rows AS (
+  SELECT *, '{{"rowId":"' || row_id || '","dataRow":{{' || {_WEEKS_JSON} || '}}}}' AS data_row
+  FROM report)
+SELECT '{{"uniqueKey":"' || unique_key || '","division":"' || any_value(division)
+       || '","gender":"' || any_value(gender) || '","category":"' || any_value(category)
+       || '","channel":"' || any_value(channel) || '","year":"' || any_value(year)
+       || '","dataRows":[' || string_agg(data_row, ',' ORDER BY row_id) || ']}}' AS value
+FROM data_rows GROUP BY unique_key
+"""
+
 # Stations ------------------------------------------------------------------
 
 _STATION_TEMPERATURE = """
@@ -160,11 +173,12 @@ WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 10
 # Daily weather -------------------------------------------------------------
 
 _DAYS = """
-  SELECT CAST(dayofmonth(ts) AS INTEGER) AS day, CAST(dayofyear(ts) AS INTEGER) AS doy,
-         CAST(month(ts) AS INTEGER) AS month, CAST(year(ts) AS INTEGER) AS year,
-         (event_id % 40) / 10 AS precip, CAST(-1 AS DOUBLE) AS snow,
-         (value + (value - user_id % 20)) / 2 AS tave, value AS tmax, value - user_id % 20 AS tmin
-  FROM events
+  SELECT CAST(dayofmonth(o_orderdate) AS INTEGER) AS day,
+         CAST(dayofyear(o_orderdate) AS INTEGER) AS doy,
+         CAST(month(o_orderdate) AS INTEGER) AS month, CAST(year(o_orderdate) AS INTEGER) AS year,
+         (o_orderkey % 40) / 10 AS precip, CAST(-1 AS DOUBLE) AS snow,
+         (tmax + (tmax - o_custkey % 20)) / 2 AS tave, tmax, tmax - o_custkey % 20 AS tmin
+  FROM (SELECT *, round(o_totalprice / 100) AS tmax FROM orders)
 """
 
 _DAILY_STATISTICS = f"""
@@ -185,6 +199,7 @@ ORACLES: dict[str, str] = {
     "weekly_consumption": _WEEKLY_CONSUMPTION,
     "weekly_consumption_sql": _WEEKLY_CONSUMPTION,
     "weekly_report_pivot": _WEEKLY_REPORT,
+    "weekly_report_documents": _WEEKLY_DOCUMENTS,
     "station_temperature": _STATION_TEMPERATURE,
     "station_temperature_sql": _STATION_TEMPERATURE,
     "cluster_climate_profile": _CLIMATE_PROFILE,
@@ -240,8 +255,9 @@ ORACLES: dict[str, str] = {
     """,
     "filter_equality": "SELECT event_id, user_id, value FROM events WHERE event_type = 'view'",
     "filter_conjunction": """
-        SELECT * FROM customer
-        WHERE suffix(c_name, '3') AND c_mktsegment = 'HOUSEHOLD' AND c_nationkey = 7
+        SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+        WHERE suffix(CAST(o_orderkey AS VARCHAR), '3') AND o_orderstatus = 'F'
+          AND o_orderpriority = '1-URGENT'
     """,
     "filter_not_null": """
         SELECT o_orderkey, o_orderstatus AS known_status FROM orders WHERE o_orderstatus <> 'P'
@@ -349,6 +365,9 @@ ORACLES: dict[str, str] = {
         SELECT o_orderkey, o_custkey, o_totalprice FROM orders
         ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
     """,
+    "sample_rows": """
+        SELECT CAST(0 AS BIGINT) AS unknown, CAST(0 AS BIGINT) AS repeated, true AS size_as_asked
+    """,
     # Scalar functions
     "fn_string": """
         SELECT c_custkey, c_name || '_x_' || c_mktsegment AS joined, c_mktsegment AS trimmed,
@@ -382,14 +401,19 @@ ORACLES: dict[str, str] = {
     "assemble_features": """
         SELECT c_custkey, c_acctbal AS x0, CAST(c_nationkey AS DOUBLE) AS x1 FROM customer
     """,
+    "kmeans_fit": """
+        SELECT count(*) AS stations, CAST(0 AS BIGINT) AS "without", CAST(0 AS BIGINT) AS misplaced
+        FROM customer
+    """,
     "kmeans_assign": """
-        WITH centers AS (SELECT * FROM customer ORDER BY c_custkey LIMIT 8),
+        WITH centers AS (
+          SELECT c_nationkey, round(avg(c_acctbal), 4) AS c_acctbal FROM customer GROUP BY 1),
         ranked AS (
-          SELECT p.c_custkey, k.c_custkey AS cluster, row_number() OVER (
+          SELECT p.c_custkey, k.c_nationkey AS cluster, row_number() OVER (
                    PARTITION BY p.c_custkey
                    ORDER BY (p.c_acctbal - k.c_acctbal) * (p.c_acctbal - k.c_acctbal)
                           + (p.c_nationkey - k.c_nationkey) * (p.c_nationkey - k.c_nationkey),
-                            k.c_custkey) AS rn
+                            k.c_nationkey) AS rn
           FROM customer p CROSS JOIN centers k)
         SELECT c_custkey, cluster FROM ranked WHERE rn = 1
     """,

@@ -45,10 +45,10 @@ def _iso(date: str):
 
 def _star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
     return (
-        st.sales(spark, sf_dir),
+        st.regional_sales(spark, sf_dir),
         st.calendar(spark, sf_dir),
-        st.stores(spark, sf_dir),
-        st.products(spark, sf_dir),
+        st.regions(spark, sf_dir),
+        st.product_types(spark, sf_dir),
     )
 
 
@@ -62,9 +62,8 @@ def weekly_consumption_sql(spark, sf_dir):
     return P.weekly_consumption_sql(spark, *_star(spark, sf_dir))
 
 
-@_query
-def weekly_report_pivot(spark, sf_dir):
-    return P.weekly_report(
+def _report_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    return (
         st.sales(spark, sf_dir),
         st.calendar(spark, sf_dir, season=False),
         st.stores(spark, sf_dir),
@@ -72,6 +71,16 @@ def weekly_report_pivot(spark, sf_dir):
     )
 
 
+@_query
+def weekly_report_pivot(spark, sf_dir):
+    return P.weekly_report(*_report_star(spark, sf_dir))
+
+
+@_query
+def weekly_report_documents(spark, sf_dir):
+    return P.weekly_report_json(*_report_star(spark, sf_dir))
+
+
 @_query
 def station_temperature(spark, sf_dir):
     found = P.station_temperature(st.measurements(spark, sf_dir), st.stations(spark, sf_dir))
@@ -293,12 +302,12 @@ def filter_equality(spark, sf_dir):
 
 @_query
 def filter_conjunction(spark, sf_dir):
-    customer = table(spark, sf_dir, "customer")
-    return customer.filter(
-        F.col("c_name").endswith("3")
-        & (F.col("c_mktsegment") == "HOUSEHOLD")
-        & (F.col("c_nationkey") == 7)
-    )
+    orders = table(spark, sf_dir, "orders")
+    return orders.filter(
+        F.col("o_orderkey").cast("string").endswith("3")
+        & (F.col("o_orderstatus") == "F")
+        & (F.col("o_orderpriority") == "1-URGENT")
+    ).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @_query
@@ -502,7 +511,19 @@ def top_n(spark, sf_dir):
 
 @_query
 def sample_rows(spark, sf_dir):
-    return table(spark, sf_dir, "events").sample(False, 0.1, 7)
+    """What holds of a sample for any seed: rows not of the table, repeated ones, its size."""
+    events = table(spark, sf_dir, "events")
+    sample = events.sample(False, 0.1, 7).select("event_id")
+    found = sample.groupBy("event_id").count().join(
+        events.groupBy("event_id").agg(F.count("*").alias("there")), "event_id", "full"
+    )
+    drawn, there = F.coalesce("count", F.lit(0)), F.coalesce("there", F.lit(0))
+    share = F.sum(drawn) / F.sum(there)
+    return found.agg(
+        F.count_if((drawn > 0) & (there == 0)).alias("unknown"),
+        F.count_if(drawn > there).alias("repeated"),
+        share.between(0.05, 0.15).alias("size_as_asked"),
+    )
 
 
 # Scalar functions ---------------------------------------------------------
@@ -574,17 +595,26 @@ def assemble_features(spark, sf_dir):
 
 @_query
 def kmeans_fit(spark, sf_dir):
+    """What holds for any seed: stations without a cluster, or in one that is not the nearest."""
     stations = st.stations(spark, sf_dir)
-    clustered = P.cluster_stations(stations, k=20)
-    return clustered.groupBy("cluster").agg(
-        F.count("*").alias("stations"), F.avg("lat").alias("lat"), F.avg("lon").alias("lon")
+    model = O.fit_kmeans(stations, ["lat", "lon"], k=100, seed=1)
+    rows = [(i, *map(float, c)) for i, c in enumerate(model.clusterCenters())]
+    centers = spark.createDataFrame(rows, "nearest int, lat double, lon double")
+    assigned = model.transform(O.assemble(stations, ["lat", "lon"], "features"))
+    return O.nearest_center(assigned, centers, ["lat", "lon"], "nearest").agg(
+        F.count("*").alias("stations"),
+        F.count_if(F.col("cluster").isNull()).alias("without"),
+        F.count_if(F.col("cluster") != F.col("nearest")).alias("misplaced"),
     )
 
 
 @_query
 def kmeans_assign(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
-    centers = customer.orderBy("c_custkey").limit(8).withColumnRenamed("c_custkey", "cluster")
+    centers = customer.groupBy(F.col("c_nationkey").alias("cluster")).agg(
+        F.round(F.avg("c_acctbal"), 4).alias("c_acctbal"),
+        F.avg("c_nationkey").alias("c_nationkey"),
+    )
     return O.nearest_center(customer, centers, ["c_acctbal", "c_nationkey"]).select(
         "c_custkey", "cluster"
     )

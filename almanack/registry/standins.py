@@ -47,7 +47,7 @@ def calendar(spark: SparkSession, sf_dir: str, season: bool = True) -> DataFrame
     """A row for each day from the first to the last ship date.
 
     The week is the week of a 13-week season, or with ``season=False`` the week
-    of the year, whose 52nd takes the last days too.
+    of the year, up to the 53rd.
     """
     shipped = F.to_date("l_shipdate")
     span = table(spark, sf_dir, "lineitem").agg(
@@ -55,7 +55,7 @@ def calendar(spark: SparkSession, sf_dir: str, season: bool = True) -> DataFrame
     )
     days = span.select(F.explode(F.sequence("first", "last")).alias("day"))
     week = F.floor((F.dayofyear("day") - 1) / 7)
-    number = week % SEASON_WEEKS + 1 if season else F.least(week + 1, F.lit(52))
+    number = week % SEASON_WEEKS + 1 if season else week + 1
     return days.select(
         F.unix_date("day").alias("date_id"),
         F.year("day").alias("date_year"),
@@ -63,6 +63,47 @@ def calendar(spark: SparkSession, sf_dir: str, season: bool = True) -> DataFrame
     )
 
 
+def regional_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales by the supplier's region and the part's type, so that many meet in a week."""
+    region = table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    region = region.select(F.col("s_suppkey").alias("store_id"), "n_regionkey")
+    kind = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"), F.xxhash64("p_type").alias("type_id")
+    )
+    placed = sales(spark, sf_dir).join(region, "store_id").join(kind, "product_id")
+    return placed.select(
+        "net_sales",
+        "sales_units",
+        F.col("n_regionkey").alias("store_id"),
+        "date_id",
+        F.col("type_id").alias("product_id"),
+    )
+
+
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("store_id"),
+        F.initcap("r_name").alias("channel"),
+        F.col("r_name").alias("country"),
+    )
+
+
+def product_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("p_type")
+    return (
+        table(spark, sf_dir, "part")
+        .select(
+            F.xxhash64(kind).alias("product_id"),
+            kind.alias("division"),
+            F.left(kind, F.lit(3)).alias("gender"),
+            F.lower(kind).alias("category"),
+        )
+        .distinct()
+    )
+
+
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")
@@ -101,19 +142,20 @@ def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record per event; its value is the maximum, ids shape the rest."""
-    tmin = F.col("value") - F.col("user_id") % 20
+    """One record per order: its price is the maximum, ids shape the rest."""
+    tmax, day = F.round(F.col("o_totalprice") / 100), "o_orderdate"
+    tmin = tmax - F.col("o_custkey") % 20
     return (
-        table(spark, sf_dir, "events")
+        table(spark, sf_dir, "orders")
         .select(
-            F.dayofmonth("ts").alias("day"),
-            F.dayofyear("ts").alias("doy"),
-            F.month("ts").alias("month"),
-            F.year("ts").alias("year"),
-            (F.col("event_id") % 40 / 10).alias("precip"),
+            F.dayofmonth(day).alias("day"),
+            F.dayofyear(day).alias("doy"),
+            F.month(day).alias("month"),
+            F.year(day).alias("year"),
+            (F.col("o_orderkey") % 40 / 10).alias("precip"),
             F.lit(-1.0).alias("snow"),
-            ((F.col("value") + tmin) / 2).alias("tave"),
-            F.col("value").alias("tmax"),
+            ((tmax + tmin) / 2).alias("tave"),
+            tmax.alias("tmax"),
             tmin.alias("tmin"),
         )
         .to(DAILY_WEATHER)

@@ -17,7 +17,7 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def spark_rows(df):

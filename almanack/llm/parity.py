@@ -7,20 +7,25 @@ and B have a Jaccard similarity of at least 3/4 only if that is at most (|A| + |
 
 1. Equal sets become one node, the smallest doc_id.
 2. A wide sketch is cut into blocks, of which just the XOR of the shingles in each is kept.
-   At most d = |A| / 3 of A's blocks differ from B's (pigeonhole), so that the first d + 1 blocks
-   of A and of B that are not empty, in the order of the blocks, have one in common. These
-   are the join keys. Sizes fall into bands with their own number of blocks; a document
+   At most d = |A| / 3 of A's blocks differ from B's (pigeonhole), so that the first d + 1 + s
+   blocks of A and of B that are not empty, in the order of the blocks, have s + 1 in common.
+   These are the join keys. Sizes fall into bands with their own number of blocks; a document
    whose smallest partner is in a lower band is also keyed by that one.
 3. A key's bucket gives candidate pairs of its members with its smallest member, not all
    pairs. Each task does so for its own members first, so that a key in a third of all
    documents sends one row a task.
 4. Candidates whose compact sketches are too far apart are dropped, the others verified by
    the sets. Links give components.
-5. A bucket of several components has pairs left to try. In small buckets these are
-   tried. Members of large ones are keyed once more, by the blocks that are rare
-   among them, as a passage that many share then hardly gives a key; all pairs of different
-   components in the new buckets are tried. No link between different sets can be lost but
-   by way of documents that already are in one component.
+5. A bucket of several components has pairs left to try. In small buckets these are tried.
+   A document with at most s keys in large ones of that kind has a small one in common with
+   each partner. The others, which are mostly made of what many share, are keyed once more,
+   by the blocks that are rare among them; all pairs of different components in the new
+   buckets are tried. In large ones of these, blocks of members meet in a task, their sketches
+   are compared in numpy, and only pairs that are near enough become rows. So no link is
+   lost but between documents already in one component.
+
+Texts of chosen documents are found by a broadcast of their ids if these are at most
+``BROADCAST_IDS``, as counted, and by a shuffle otherwise.
 
 Nulls: a null or empty text, or one without words, has no set, is linked with nothing and is its own
 component. A row with null doc_id has null as component. Rows that repeat doc_id and text get
@@ -33,22 +38,30 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import shared_folder, stored
-from .words import Texts, mixed, runs
+from .storage import drop_stored, shared_folder, stored
+from .words import STEP, Texts, mixed, runs
 
 SHINGLE = 5
 #: Band b > 0 holds sizes from 16 * 4**b up to 64 * 4**b; band 0 those below 64.
 FIRST_BAND = 64
-#: Buckets up to this size have all their open pairs tried; larger ones go another way.
-SMALL_BUCKET = 32
+#: Keys beyond those that must have one in common (s above).
+SPARE_KEYS = 16
+#: A list of ids up to this length (8 bytes each) is broadcast.
+BROADCAST_IDS = 500_000
+#: Buckets up to this size have all their open pairs made into rows; larger ones go another way.
+SMALL_BUCKET = 8
+#: Members of larger ones are compared by sketches, so many with so many at a time.
+BLOCK_MEMBERS = 1024
 #: So many keys, the most frequent ones, are ranked in the second way: 16 bytes each.
 RANKED_KEYS = 500_000
+#: Sets of pairs are large rows; batches are bounded by bytes for the jobs of the join.
+ARROW_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 #: Keys are combined within a task in lots of so many.
-LOT_KEYS = 2_000_000
+LOT_KEYS = 1_000_000
 
 
 def bands(sizes: np.ndarray) -> np.ndarray:
@@ -57,9 +70,16 @@ def bands(sizes: np.ndarray) -> np.ndarray:
     return np.searchsorted(edges, sizes, "right")
 
 
-def _blocks_of_band(band: np.ndarray) -> np.ndarray:
-    """Twice the greatest number of differing blocks of the band; in band 0, one block a shingle."""
-    return np.where(band == 0, 1 << 30, 2 * (FIRST_BAND * 4**band // 3 + 1)).astype(np.uint64)
+def _block(hashes: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """A shingle's block: in band 0 its own, else one of four times as many as may differ."""
+    count = 4 * (FIRST_BAND * 4**band // 3 + 1)
+    return np.where(band == 0, hashes, ((hashes >> np.uint64(32)) * count.astype(np.uint64)) >> np.uint64(32))
+
+
+def spare_of_partners(size: Column) -> Column:
+    """How many keys beyond one a set of this size surely has in common with any partner."""
+    least = F.ceil(3 * size / 4)
+    return F.least(F.lit(SPARE_KEYS), least - F.floor(least / 3) - 1)
 
 
 def _sketch_bits(band: int) -> int:
@@ -106,6 +126,28 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= 75 * (len(a) + len(b) - shared)
 
 
+def near_pairs(component, sizes, sketches, left, right) -> tuple[np.ndarray, np.ndarray]:
+    """Places (x, y) of members of different components whose sketches allow a link.
+
+    ``left`` and ``right`` mark the members to compare; where they agree, x < y.
+    """
+    short = min(map(len, sketches))
+    folded = []
+    for sketch in sketches:
+        words = np.frombuffer(sketch, np.uint64).reshape(-1, short // 8)
+        folded.append(np.bitwise_xor.reduce(words, axis=0))
+    bits, others, found = np.array(folded), np.flatnonzero(right), []
+    for x in np.flatnonzero(left):
+        y = others[others > x] if right[x] else others
+        n, m = sizes[x], sizes[y]
+        y = y[(component[y] != component[x]) & (4 * np.minimum(n, m) >= 3 * np.maximum(n, m))]
+        apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
+        y = y[7 * apart <= n + sizes[y]]
+        found.append(np.stack((np.full(len(y), x), y)))
+    x, y = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
+    return x, y
+
+
 def block_keys(hashes, first, text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All blocks that are not empty: keys, texts, keys needed, and a number for text and band.
 
@@ -121,12 +163,12 @@ def block_keys(hashes, first, text) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         if not len(h):
             continue
         b = band[t]
-        block = ((h >> np.uint64(32)) * _blocks_of_band(b)) >> np.uint64(32)
+        block = _block(h, b)
         new = np.ones(len(h), bool)
         new[1:] = (block[1:] != block[:-1]) | (t[1:] != t[:-1])
         at = np.flatnonzero(new)
         xor = np.bitwise_xor.reduceat(mixed(h), at)
-        place = mixed(block[at] + (b[at].astype(np.uint64) << np.uint64(40)))
+        place = mixed(block[at] + (b[at] + 1).astype(np.uint64) * STEP)
         # As the larger one of a pair, |A - B| + |B - A| is at most 2/7 of the size.
         need = (2 * sizes // 7 if twice else sizes // 3) + 1
         out.append((mixed(xor ^ place), t[at], need[t[at]], t[at] + (0 if twice else len(sizes))))
@@ -143,9 +185,10 @@ def _prefix(keys, text, need, group, rank=None):
     begins = np.searchsorted(group, group)
     place = np.arange(len(group)) - begins
     counts = np.searchsorted(group, group, "right") - begins
-    if (counts < need).any():
-        raise ValueError("a set has too few blocks; the chance of that is below 1e-15 a document")
-    keep = place < need
+    # Beyond band 0 sets have far more blocks; the chance that one has not is below 1e-20.
+    if (counts < np.minimum(need + SPARE_KEYS, np.where(need > FIRST_BAND // 3, 1 << 30, need))).any():
+        raise ValueError("a set has too few blocks that are not empty")
+    keep = place < need + SPARE_KEYS
     return keys[keep], text[keep]
 
 
@@ -251,20 +294,36 @@ class _Join:
 
     def texts(self, nodes: DataFrame) -> DataFrame:
         """The texts of some nodes (a column ``node`` of distinct values)."""
-        found = self.docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+        return self._chosen(nodes.select(F.col("node").alias("doc_id")), "left_semi")
+
+    def _chosen(self, ids: DataFrame, how: str) -> DataFrame:
+        if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+            ids = F.broadcast(ids)
+        found = self.docs.where("doc_id IS NOT NULL").join(ids, "doc_id", how)
         return found.select(F.col("doc_id").cast("long"), "text")
 
+    def first_of_each(self) -> DataFrame:
+        """The texts without copies: of equal sets, the one with the smallest doc_id."""
+        of = ["n_shingles", "mark1", "mark2"]
+        full = self.signed.where("doc_id IS NOT NULL")
+        copies = full.join(self.same.where("rows > 1"), of).where("doc_id <> node").select("doc_id")
+        return self._chosen(self.stored(copies.distinct(), "copies"), "left_anti")
+
     def buckets(self, keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members (key, node) of keys with several, and the pairs (a, b) to try first."""
         keyed = self.stored(keyed, "keyed")
+        path = f"{self.folder}/keyed-{self.number}"
+        # A key has a row for each task at most by now, so its rows may meet in one task.
+        own = Window.partitionBy("key")
         hubs = keyed.where("node = hub").select("key", "hub")
-        shared = hubs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("hub").alias("least"))
-        shared = self.stored(shared.where("n > 1").select("key", "least"), "shared")
-        wide = self.stored(hubs.join(shared, "key"), "wide")
+        hubs = hubs.select("*", F.count(F.lit(1)).over(own).alias("n"), F.min("hub").over(own).alias("least"))
+        wide = self.stored(hubs.where("n > 1").select("key", "hub", "least"), "wide")
         members = keyed.where("NOT alone").select("key", "node").union(wide.select("key", "hub"))
         pairs = keyed.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
         pairs = pairs.union(wide.where("hub <> least").select("least", "hub")).distinct()
-        return self.stored(members.distinct(), "members"), pairs
+        members, pairs = self.stored(members.distinct(), "members"), self.stored(pairs, "pairs")
+        drop_stored(self.spark, path)
+        return members, pairs
 
     def try_pairs(self, pairs: DataFrame, name: str) -> None:
         """Add the links among distinct pairs (a < b) that were not tried before."""
@@ -323,17 +382,70 @@ class _Join:
         pairs = x.join(y, "key").where("x < y AND cx <> cy")
         return pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
+    def open_pairs_by_blocks(self, members: DataFrame) -> DataFrame:
+        """As ``open_pairs``, but only those that sketches allow, found within tasks.
+
+        A bucket of n members is dealt into k = n / BLOCK_MEMBERS slots, and each pair of slots
+        is a group of its own: at most k rows for each member, and no group grows with n.
+        """
+        own = self.signed.select(F.col("doc_id").alias("node"), "n_shingles", "sketch")
+        k = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
+        slot = F.pmod(F.xxhash64("node"), k).cast("int")
+        dealt = members.join(own.dropDuplicates(["node"]), "node").select(
+            "*", slot.alias("slot"), F.explode(F.sequence(F.lit(0), k - 1)).alias("other")
+        )
+        group = ("key", "i", "j")
+        dealt = dealt.select(
+            "key", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"),
+            "slot", "node", "component", "n_shingles", "sketch",
+        ).repartition(*group).sortWithinPartitions(*group, "node")
+
+        def compare(rows: pa.Table) -> pa.RecordBatch:
+            i, j, slot, node, component, sizes = (
+                rows.column(c).to_numpy() for c in ("i", "j", "slot", "node", "component", "n_shingles")
+            )
+            x, y = near_pairs(component, sizes, rows.column("sketch").to_pylist(), slot == i, slot == j)
+            a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rest = None
+            for batch in batches:
+                table = pa.Table.from_batches([batch])
+                table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+                names = np.stack([table.column(c).to_numpy() for c in group])
+                cuts = np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1
+                for low, high in zip([0, *cuts[:-1]], cuts, strict=False):
+                    yield compare(table.slice(low, high - low))
+                rest = table.slice(cuts[-1]) if len(cuts) else table
+            if rest is not None and len(rest):
+                yield compare(rest)
+
+        return dealt.mapInArrow(work, "a long, b long").distinct()
+
     def run(self) -> DataFrame:
-        members, pairs = self.buckets(_keyed(self.texts(self.same)))
+        """All jobs but the last, with Arrow batches that a worker can hold twice."""
+        before = self.spark.conf.get(ARROW_BYTES)
+        self.spark.conf.set(ARROW_BYTES, BATCH_BYTES)
+        try:
+            self.link()
+        finally:
+            self.spark.conf.set(ARROW_BYTES, before)
+        return self.result()
+
+    def link(self) -> None:
+        members, pairs = self.buckets(_keyed(self.first_of_each()))
         self.try_pairs(pairs, "first")
-        self.tried = pairs = self.stored(pairs, "tried")
+        self.tried = pairs
         left = self.open_members(members)
         small = self.open_pairs(left.where(F.col("n") <= SMALL_BUCKET))
-        large = self.stored(left.where(F.col("n") > SMALL_BUCKET).select("node").distinct(), "large")
+        counts = left.where(F.col("n") > SMALL_BUCKET).groupBy("node").agg(F.count(F.lit(1)).alias("large"))
+        sized = counts.join(self.signed.select(F.col("doc_id").alias("node"), "n_shingles"), "node")
+        large = sized.where(F.col("large") > spare_of_partners(F.col("n_shingles"))).select("node")
+        large = self.stored(large.distinct(), "large")
         self.try_pairs(small, "small")
         if not large.isEmpty():
             self.by_rare_keys(large)
-        return self.result()
 
     def by_rare_keys(self, nodes: DataFrame) -> None:
         counts = _all_keys(self.texts(nodes)).groupBy("key").count()
@@ -346,7 +458,9 @@ class _Join:
         self.try_pairs(pairs, "rare")
         left = self.open_members(members)
         self.tried = self.stored(self.tried.union(pairs).distinct(), "tried")
-        self.try_pairs(self.open_pairs(left), "rest")
+        few = self.open_pairs(left.where(F.col("n") <= SMALL_BUCKET))
+        many = self.open_pairs_by_blocks(left.where(F.col("n") > SMALL_BUCKET))
+        self.try_pairs(self.stored(few.union(many).distinct(), "rest-pairs"), "rest")
 
     def result(self) -> DataFrame:
         several = self.same.where("rows > 1").drop("rows").withColumnRenamed("node", "twin")

@@ -43,10 +43,12 @@ def near_copies(seed=2):
     return rows + [(10**6 + i, t) for i, t in enumerate(odd)]
 
 
-@pytest.mark.parametrize("small", [32, 3])
-def test_join_equals_all_pairs(spark, monkeypatch, small):
-    """Also with large buckets on, so that the way by rare keys is taken."""
+@pytest.mark.parametrize(("small", "block", "spare"), [(8, 1024, 16), (3, 5, 16), (3, 1024, 0)])
+def test_join_equals_all_pairs(spark, monkeypatch, small, block, spare):
+    """Also with few small buckets and keys to spare, so that the second way is taken."""
     monkeypatch.setattr(parity, "SMALL_BUCKET", small)
+    monkeypatch.setattr(parity, "BLOCK_MEMBERS", block)
+    monkeypatch.setattr(parity, "SPARE_KEYS", spare)
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in parity.jaccard_components(docs).collect()}

@@ -187,7 +187,7 @@ def test_window_entropy_equals_counting_anew(spark):
 
 
 def test_entropy_and_allow_list(spark):
-    key = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
+    key = "ghp_aB3dE6gH9jK2mN5pQ8sT1vW4yZ7cF0xRkLbX"
     rows = [
         (1, f"x {key} y"), (2, "thequickbrownfoxjumpsoverthelazydog"), (3, "12345678901234567890123"),
         (4, "123e4567-e89b-12d3-a456-426614174000"), (5, f"token={key}"), (6, "EXAMPLEkey9x8Qz7Lm3Tb5"),

@@ -61,7 +61,7 @@ RANKED_KEYS = 500_000
 #: Sets of pairs are large rows; batches are bounded by bytes for the jobs of the join.
 ARROW_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 #: Keys are combined within a task in lots of so many.
-LOT_KEYS = 1_000_000
+LOT_KEYS = 500_000
 
 
 def bands(sizes: np.ndarray) -> np.ndarray:
@@ -315,10 +315,18 @@ class _Join:
         path = f"{self.folder}/keyed-{self.number}"
         # A key has a row for each task at most by now, so its rows may meet in one task.
         own = Window.partitionBy("key")
-        hubs = keyed.where("node = hub").select("key", "hub")
-        hubs = hubs.select("*", F.count(F.lit(1)).over(own).alias("n"), F.min("hub").over(own).alias("least"))
-        wide = self.stored(hubs.where("n > 1").select("key", "hub", "least"), "wide")
-        members = keyed.where("NOT alone").select("key", "node").union(wide.select("key", "hub"))
+        hubs = keyed.where("node = hub").select("key", "hub", "alone")
+        hubs = hubs.select(
+            "key",
+            "hub",
+            F.count(F.lit(1)).over(own).alias("n"),
+            F.min("hub").over(own).alias("least"),
+            F.min("alone").over(own).alias("single"),
+        )
+        # Two members make one pair: nothing is left to try after that.
+        closed = ((F.col("n") == 2) & F.col("single")).alias("closed")
+        wide = self.stored(hubs.where("n > 1").select("key", "hub", "least", closed), "wide")
+        members = keyed.where("NOT alone").select("key", "node").union(wide.where("NOT closed").select("key", "hub"))
         pairs = keyed.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
         pairs = pairs.union(wide.where("hub <> least").select("least", "hub")).distinct()
         members, pairs = self.stored(members.distinct(), "members"), self.stored(pairs, "pairs")

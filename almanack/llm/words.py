@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 BASE = 0x9E3779B97F4A7C15 | 1
 STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Texts are handled in runs of about so many bytes, which bounds a task's memory.
-RUN_BYTES = 3 << 20
+RUN_BYTES = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

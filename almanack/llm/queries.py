@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .cotraining import classify_quality
 from .decontaminate import contaminated
 from .licenses import scan_licences
+from .oracles import ORACLES
 from .packing import pack_documents
 from .parity import jaccard_components
 from .pii import find_personal_data
@@ -19,8 +20,9 @@ from .storage import shared_folder
 from .token_files import token_digests, write_token_files
 from .warc import read_warc, write_warc
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def _query(f: Callable[[SparkSession, str], DataFrame]):
@@ -70,7 +72,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark, 'op8')}/warc"
     write_warc(_table(spark, sf_dir, "pages"), folder)
-    return read_warc(spark, folder)
+    return read_warc(spark, folder).drop("url", "record_id")
 
 
 @_query

@@ -10,11 +10,12 @@ import pyarrow as pa
 import pytest
 from almanack.llm import cotraining, decontaminate, parity, pii, repetition, warc
 from almanack.llm.components import components
-from almanack.llm.queries import QUERIES
+from almanack.llm.queries import ORACLES, QUERIES
 from almanack.llm.storage import shared_folder
 from brute import components as plain_components
 from brute import contained, shingles
 from brute import repetition as plain_repetition
+from compare import difference, oracle
 from conftest import DATA
 
 
@@ -242,5 +243,11 @@ def test_pipeline_takes_no_rows(spark):
     assert corpus_pipeline.packing(spark, docs, f"{DATA}/sf0.001").collect() == []
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_agree_with_sql(spark, name):
+    sf_dir = f"{DATA}/sf0.01"
+    assert difference(QUERIES[name](spark, sf_dir), oracle(sf_dir), ORACLES[name]) is None
+
+
 def test_short_texts_are_one_shingle():
     assert decontaminate.shingle_texts("One\ttwo") == {"one two"} and shingles("One two") == {("one", "two")}

@@ -195,6 +195,12 @@ SELECT hottest.*, stats.* FROM hottest, (
   FROM days) stats
 """
 
+_LENIENT = """
+SELECT o_orderkey AS order_id, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price,
+       o_orderstatus = 'P' AS bad_row
+FROM orders
+"""
+
 ORACLES: dict[str, str] = {
     "weekly_consumption": _WEEKLY_CONSUMPTION,
     "weekly_consumption_sql": _WEEKLY_CONSUMPTION,
@@ -211,6 +217,8 @@ ORACLES: dict[str, str] = {
         SELECT o_custkey AS customer_id, o_orderkey AS order_id, o_totalprice AS price
         FROM orders
     """,
+    "scan_csv_lenient": _LENIENT,
+    "parse_lenient": _LENIENT,
     "scan_csv_cast": "SELECT o_orderkey, o_totalprice FROM orders",
     "scan_csv_dates": """
         SELECT CAST(user_id AS VARCHAR) AS sid, strftime(ts, '%Y-%m-%d') AS date,

@@ -171,6 +171,30 @@ def scan_csv_schema(spark, sf_dir):
     return read.select("customer_id", "order_id", "price")
 
 
+@_query
+def scan_csv_lenient(spark, sf_dir):
+    """Orders of status P have a price that is no number."""
+    spoiled = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(
+        F.col("o_totalprice").cast("string")
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", spoiled.alias("price"))
+    path = _staged(orders, "orders", header=True)
+    return S.read_csv(spark, path, "order_id long, price double", header=True, strict=False)
+
+
+@_query
+def parse_lenient(spark, sf_dir):
+    """The same as delimited text."""
+    price = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(
+        F.col("o_totalprice").cast("string")
+    )
+    lines = table(spark, sf_dir, "orders").select(
+        F.concat_ws(",", F.col("o_orderkey").cast("string"), price).alias("value")
+    )
+    fields = [S.Field("order_id", 0, "bigint"), S.Field("price", 1, "double")]
+    return S.parse_delimited(lines, fields, strict=False)
+
+
 @_query
 def scan_csv_cast(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 
 def read_csv(
@@ -19,14 +19,20 @@ def read_csv(
     date_format: str | None = None,
     trim: bool = False,
     mode: str = "PERMISSIVE",
+    strict: bool | None = None,
 ) -> DataFrame:
     """Read a delimited file whose columns match ``schema`` by position.
 
     Columns beyond the schema are ignored. ``mode`` is Spark's: ``PERMISSIVE``
-    turns a bad cell into NULL, ``FAILFAST`` raises.
+    turns a bad cell into NULL, ``FAILFAST`` raises, also for more columns than
+    the schema has. ``strict`` decides about cells only: if true, one that does not
+    fit its type raises (in ANSI mode, Spark's default); if false, it becomes NULL
+    and the row is marked in a further column ``bad_row``.
     """
+    kinds = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    texts = StructType([StructField(f.name, StringType()) for f in kinds])
     reader = (
-        spark.read.schema(schema)
+        spark.read.schema(kinds if strict is None else texts)
         .option("header", header)
         .option("sep", sep)
         .option("mode", mode)
@@ -35,7 +41,24 @@ def read_csv(
     )
     if date_format:
         reader = reader.option("dateFormat", date_format)
-    return reader.csv(path)
+    rows = reader.csv(path)
+    return rows if strict is None else _typed(rows, kinds, date_format, strict)
+
+
+def _typed(rows: DataFrame, kinds: StructType, date_format: str | None, strict: bool) -> DataFrame:
+    """Text columns as their types; ``bad_row`` where one was no such value, unless strict."""
+    values, bad = [], F.lit(False)
+    for field in kinds:
+        text, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, DateType) and date_format:
+            pattern = F.lit(date_format)
+            value = F.to_date(text, date_format) if strict else F.try_to_timestamp(text, pattern)
+            value = value.cast(kind)
+        else:
+            value = text.cast(kind) if strict else text.try_cast(kind)
+        values.append(value.alias(field.name))
+        bad = bad | (text.isNotNull() & value.isNull())
+    return rows.select(*values) if strict else rows.select(*values, bad.alias("bad_row"))
 
 
 def read_csv_cast(

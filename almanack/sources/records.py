@@ -1,4 +1,8 @@
-"""Readers of the files the analyses start from, one for each kind of record."""
+"""Readers of the files the analyses start from, one for each kind of record.
+
+``strict`` readers raise on a bad cell; lenient ones give NULL and mark the row in
+``bad_row``.
+"""
 
 from __future__ import annotations
 
@@ -46,28 +50,36 @@ RATE_FIELDS, RATE_HEADER = (
 DATE_FORMAT = "yyyyMMdd"
 
 
-def read_sales(spark: SparkSession, path: str, trim: bool = True) -> DataFrame:
-    return read_csv(spark, path, schemas.SALES, header=True, trim=trim)
+def read_sales(
+    spark: SparkSession, path: str, trim: bool = True, strict: bool = True
+) -> DataFrame:
+    return read_csv(spark, path, schemas.SALES, header=True, trim=trim, strict=strict)
 
 
-def read_calendar(spark: SparkSession, path: str, trim: bool = True) -> DataFrame:
-    return read_csv(spark, path, schemas.CALENDAR, header=True, trim=trim)
+def read_calendar(
+    spark: SparkSession, path: str, trim: bool = True, strict: bool = True
+) -> DataFrame:
+    return read_csv(spark, path, schemas.CALENDAR, header=True, trim=trim, strict=strict)
 
 
-def read_stores(spark: SparkSession, path: str, trim: bool = True) -> DataFrame:
-    return read_csv(spark, path, schemas.STORE, header=True, trim=trim)
+def read_stores(
+    spark: SparkSession, path: str, trim: bool = True, strict: bool = True
+) -> DataFrame:
+    return read_csv(spark, path, schemas.STORE, header=True, trim=trim, strict=strict)
 
 
-def read_products(spark: SparkSession, path: str, trim: bool = True) -> DataFrame:
-    return read_csv(spark, path, schemas.PRODUCT, header=True, trim=trim)
+def read_products(
+    spark: SparkSession, path: str, trim: bool = True, strict: bool = True
+) -> DataFrame:
+    return read_csv(spark, path, schemas.PRODUCT, header=True, trim=trim, strict=strict)
 
 
 def read_stations(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     return parse_fixed_width(spark.read.text(path), STATION_SLICES, strict=strict)
 
 
-def read_measurements(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.MEASUREMENT, date_format=DATE_FORMAT)
+def read_measurements(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    return read_csv(spark, path, schemas.MEASUREMENT, date_format=DATE_FORMAT, strict=strict)
 
 
 def read_daily_weather(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
@@ -95,13 +107,13 @@ def read_state_rates(spark: SparkSession, path: str, strict: bool = True) -> Dat
     return _tabbed(spark, path, RATE_FIELDS, RATE_HEADER, strict)
 
 
-def read_county_rates(spark: SparkSession, path: str) -> DataFrame:
+def read_county_rates(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Rates with the period as text; columns after the value are ignored."""
-    return read_csv(spark, path, schemas.COUNTY_RATE, header=True, sep="\t")
+    return read_csv(spark, path, schemas.COUNTY_RATE, header=True, sep="\t", strict=strict)
 
 
-def read_zip_codes(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.ZIP_CODE, header=True)
+def read_zip_codes(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    return read_csv(spark, path, schemas.ZIP_CODE, header=True, strict=strict)
 
 
 def _tabbed(

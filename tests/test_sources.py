@@ -40,6 +40,31 @@ def test_csv_dates_and_columns_beyond_the_schema(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize(
+    ("read", "head", "good", "bad"),
+    [
+        (S.read_sales, "h", "1,2.5,3,4,5,6", "1,2.5,3,x,5,6"),
+        (S.read_calendar, "h", "1,2,2018,3", "1,2,y,3"),
+        (S.read_stores, "h", "1,Store,SPAIN", "one,Store,SPAIN"),
+        (S.read_products, "h", "1,A,B,C", "1.5x,A,B,C"),
+        (S.read_county_rates, "h", "A\t2001\tM01\t2.5\tmore", "A\tyear\tM01\t2.5"),
+        (S.read_zip_codes, "h", "1,2.5,3.5,a,b,c", "1,north,3.5,a,b,c"),
+        (S.read_measurements, None, "S1,20180102,TMAX,15,,,E", "S1,2018-13-02,TMAX,15"),
+    ],
+)
+def test_readers_are_strict_or_mark_the_row(spark, tmp_path, read, head, good, bad):
+    path = tmp_path / "records"
+    path.write_text("\n".join([*([head] if head else []), good, bad]) + "\n")
+    with pytest.raises(PySparkException):
+        read(spark, str(path)).collect()
+    found = read(spark, str(path), strict=False)
+    assert found.columns[-1] == "bad_row"
+    assert [r.bad_row for r in found.collect()] == [False, True]
+    path.write_text("\n".join([*([head] if head else []), good]) + "\n")
+    assert read(spark, str(path)).columns == found.columns[:-1]
+    assert None not in read(spark, str(path)).first()
+
+
 def test_csv_with_named_casts(spark, tmp_path):
     path = tmp_path / "sales.csv"
     path.write_text("saleId,netSales,productId\n1,300.24,00567228914507\n2,oops,5\n")

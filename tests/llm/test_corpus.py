@@ -251,3 +251,14 @@ def test_queries_agree_with_sql(spark, name):
 
 def test_short_texts_are_one_shingle():
     assert decontaminate.shingle_texts("One\ttwo") == {"one two"} and shingles("One two") == {("one", "two")}
+
+
+def test_cotraining_hands_over_from_all_unlabelled_rows(spark):
+    rows = [(i, f"the cat {i % 97} sat on a mat" if i % 2 else "### *** |||" * 5) for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = spark.range(200).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality")
+    model = cotraining.fit(docs, labels)
+    # In four rounds a fixed pool of 6,000 handed over 3,200 rows at most; views now hand over a share of all.
+    assert model.handed_over > 4 * 1_000
+    free = spark.range(200, 20_000).count()
+    assert model.handed_over <= 2 * free

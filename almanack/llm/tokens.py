@@ -6,6 +6,8 @@ Ids do not reach across certain places, so texts are cut there; most chunks recu
   white space begins a pre-token, and so does a single line break before such a
   character. Texts with any other white space are encoded in one piece.
 * vocabularies that drop white space: every space and line break.
+* texts that hold a special token of the vocabulary (as ``<|endoftext|>``) literally: nowhere. The
+  library, by its default, makes one id of the token, and so do the ids here.
 * a letter of ASCII or Latin-1 and a full stop or comma at a chunk's end.
 
 Chunks are found, hashed (64 bits) and looked up with numpy; the library encodes those that
@@ -19,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .words import BYTE_VALUES, LOWER_VALUES, Texts, mixed
 
@@ -83,7 +86,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content for t in special if t.special]
         self.spaces_kept = spaces_kept
         self.values = BYTE_VALUES if spaces_kept else LOWER_VALUES
         self.known = _Known()
@@ -91,7 +95,10 @@ class Encoder:
         # A mark must be one id for the flat layout below; else chunks keep their marks.
         self.marks_cut = all(len(self.marks[m]) == 1 for m in (".", ","))
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
+    def _ids(self, texts: list[str], whole: bool = False) -> list[list[int]]:
+        # Chunks are remembered by hashes that may ignore case, special tokens do not: these
+        # count in whole texts only.
+        self.tokenizer.encode_special_tokens = not whole
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [e.ids for e in found]
 
@@ -118,6 +125,9 @@ class Encoder:
         texts = _Chunks(column)
         texts.values = self.values
         odd = self._odd(texts)
+        for token in self.special:
+            held = pc.fill_null(pc.match_substring(column, token), False)
+            odd = odd | held.to_numpy(zero_copy_only=False)
         data = texts.data
         starts, ends = texts.starts, texts.ends.copy()
         cut = np.zeros(len(starts), bool)
@@ -162,7 +172,7 @@ class Encoder:
         bounds = total[texts.first]
         rows = [out[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         for i in np.flatnonzero(odd).tolist():
-            rows[i] = np.array(self._ids([column[i].as_py() or ""])[0], np.uint32)
+            rows[i] = np.array(self._ids([column[i].as_py() or ""], whole=True)[0], np.uint32)
         return rows
 
 

@@ -162,3 +162,28 @@ def test_packing_of_nulls_and_repeats(spark):
     got = pack_documents(docs.coalesce(1), WORDS, 1, with_ids=True).collect()
     assert sorted((r.doc_id or 0, r.ids) for r in got) == [(0, [*plain(WORDS, ["a b"])[0], 1]), (1, [1]), (1, [1]), (2, [1])]
     assert pack_documents(docs.limit(0), WORDS, 1).collect() == []
+
+
+@pytest.mark.parametrize(("path", "spaces"), [(BYTES, True), (WORDS, False)])
+def test_special_tokens_in_texts_are_those_of_the_library(path, spaces):
+    """As the library encodes by default: a literal special token is one id, in its own case only."""
+    texts = [
+        "a <|endoftext|> b", "a <|ENDOFTEXT|> b", "<|endoftext|>", "x<|endoftext|>y.\nz <|startoftext|>,", "a b",
+        "<|EndOfText|> <|endoftext|>", None, "<|endoftext|>\n<|endoftext|> c.", "<|endoftext |>",
+    ]
+    library = Tokenizer.from_file(path)
+    want = [e.ids for e in library.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+    assert want[0] == ([64, 220, 50256, 275] if spaces else [320, 49407, 321])
+    encoder = tokens.Encoder(path, spaces)
+    assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want
+    for i in range(len(texts)):
+        assert encoder.encode(pa.array(texts).slice(i, 1))[0].tolist() == want[i]
+        assert tokens.Encoder(path, spaces).encode(pa.array(texts[::-1]).slice(i))[0].tolist() == want[::-1][i]
+
+
+@pytest.mark.parametrize(("path", "spaces"), [(BYTES, True), (WORDS, False)])
+def test_ids_are_those_of_the_library_by_default(spark, path, spaces):
+    docs = [r.text for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").collect()]
+    library, texts = Tokenizer.from_file(path), docs + ODD
+    want = [e.ids for e in library.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in tokens.Encoder(path, spaces).encode(pa.array(texts))] == want

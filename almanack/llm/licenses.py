@@ -2,8 +2,10 @@
 
 A text is read as words and sentence breaks. Each sentence that equals a known licence
 sentence, after normalising case, punctuation and spacing, is mapped to its identifier
-(``#`` in a known sentence stands for any number, as of a version). The sequence of
-identifiers is then matched against ordered rules, the longest first.
+(``#`` in a known sentence stands for any number, as of a version, and ``*`` for one to twelve
+words, as of a holder's name; in a document both are punctuation, as of a comment or heading). The
+sequence of identifiers is then matched against ordered rules, the longest first. The expression of an
+SPDX line is a licence as it is written.
 
 A sentence ends at a full stop, colon, semicolon, exclamation or question mark before white
 space, and at an empty line; it may also begin or end at a line's start or end, and run over
@@ -67,10 +69,25 @@ SENTENCES = {
     "bsd-warranty": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY'
     " EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF"
     " MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED",
+    "bsd-endorse": "Neither the name of * nor the names of its contributors may be used to endorse or promote"
+    " products derived from this software without specific prior written permission",
+    "bsd-endorse-2": "Neither the name of * nor the names of * contributors may be used to endorse or promote"
+    " products derived from this software without specific prior written permission",
+    "bsd-endorse-3": "The name of * may not be used to endorse or promote products derived from this software"
+    " without specific prior written permission",
+    "bsd-advertising": "All advertising materials mentioning features or use of this software must display the"
+    " following acknowledgement",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or"
     " without fee is hereby granted, provided that the above copyright notice and this permission"
     " notice appear in all copies",
     "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. #",
+    "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at"
+    " https://mozilla.org/MPL/#/",
+    "mpl-copy-2": "If a copy of the MPL was not distributed with this file, You can obtain one at"
+    " http://mozilla.org/MPL/#/",
+    "mpl-title": "Mozilla Public License Version #",
+    "gnu-verbatim": "Everyone is permitted to copy and distribute verbatim copies of this license document, but"
+    " changing it is not allowed",
     "unlicense-grant": "This is free and unencumbered software released into the public domain",
     "cc-by-notice": "Licensed under CC BY #",
     "cc-by-sa-notice": "Licensed under CC BY-SA #",
@@ -84,16 +101,96 @@ SENTENCES = {
     "cc0-notice": "This work is dedicated to the public domain under CC0 #",
 }
 
+# Notices, grants, titles and first words of the GNU licences, by identifier.
+_GNU = {
+    "gpl": "General Public License",
+    "lgpl": "Lesser General Public License",
+    "lgpl-library": "Library General Public License",
+    "agpl": "Affero General Public License",
+}
+_GNU_DATES = ("", ", 29 June 2007", ", 19 November 2007", ", February 1999", ", June 1991", ", February 1989")
+_GNU_BODIES = {
+    "gpl": ("The GNU General Public License is a free, copyleft license for software and other kinds of works",),
+    "lgpl": ("This version of the GNU Lesser General Public License incorporates the terms and conditions of"
+             " version # of the GNU General Public License, supplemented by the additional permissions listed below",),
+    "agpl": ("The GNU Affero General Public License is a free, copyleft license for software and other kinds of"
+             " works, specifically designed to ensure cooperation with the community in the case of network server"
+             " software",),
+}
+_OLD_BODY = "The licenses for most software are designed to take away your freedom to share and change it"
+_CC = {
+    "by": ("Attribution",),
+    "by-sa": ("Attribution-ShareAlike", "Attribution Share Alike"),
+    "by-nc": ("Attribution-NonCommercial", "Attribution-Non-Commercial"),
+    "by-nd": ("Attribution-NoDerivatives", "Attribution-NoDerivs", "Attribution-No Derivatives"),
+    "by-nc-sa": ("Attribution-NonCommercial-ShareAlike", "Attribution-Non-Commercial-Share Alike"),
+    "by-nc-nd": (
+        "Attribution-NonCommercial-NoDerivatives",
+        "Attribution-NonCommercial-NoDerivs",
+        "Attribution-Non-Commercial-No Derivatives",
+    ),
+}
+_HEADS = ("This work is licensed under", "Licensed under", "Released under")
+
+
+def _families() -> tuple[dict[str, str], list[tuple[str, tuple[str, ...]]]]:
+    """Sentences and rules of the licences that differ by a few words."""
+    sentences: dict[str, str] = {}
+    rules: list[tuple[str, tuple[str, ...]]] = []
+
+    def add(name: str, forms: list[str]) -> list[str]:
+        found = {f"{name}-{i}": f for i, f in enumerate(dict.fromkeys(" ".join(f.split()) for f in forms))}
+        sentences.update(found)
+        return list(found)
+
+    for kind, title in _GNU.items():
+        licence, name = f"{kind.split('-')[0].upper()}-#", f"GNU {title}"
+        terms = f"you can redistribute it and/or modify it under the terms of the {name}"
+        by = " as published by the Free Software Foundation"
+        subjects = [f"{s} is free software, " for s in ("This program", "This library", "This file", "This software", "It")]
+        starts = [a + b + terms for a in ("", *subjects) for b in ("", "and ")]
+        later = ["or (at your option) any later version", "or at your option any later version", "or any later version"]
+        grants = add(f"{kind}-later", [f"{s}{by}, either version # of the License, {x}" for s in starts for x in later])
+        only = [f"{s}{x}" for s in starts for x in (f" version #{by}", f", version #,{by}", f"{by}, version #",
+                f"{by}, version # of the License", f"{by}, either version # of the License")]
+        only = add(f"{kind}-only", only)
+        heads = [f"{h} the {name}{v} #" for h in _HEADS for v in (", version", " v")]
+        notices = add(f"{kind}-note", heads)
+        titles = add(f"{kind}-full", [f"{name} Version #{d}" for d in _GNU_DATES])
+        bodies = add(f"{kind}-body", [*_GNU_BODIES.get(kind, ()), _OLD_BODY] if kind == "gpl" else [*_GNU_BODIES.get(kind, ())])
+        rules += [(f"{licence}-or-later", (g,)) for g in grants]
+        rules += [(licence, (x,)) for x in (*only, *notices, *titles)]
+        # The text of a licence ends with the grant that it proposes.
+        ends = [g for g in (*grants, *(("gpl-grant", "gpl-grant-2") if kind == "gpl" else ()))]
+        for t in titles:
+            middles = [("gnu-verbatim",), *(("gnu-verbatim", b) for b in bodies)]
+            if kind != "gpl":
+                middles.append(("gnu-verbatim", "gpl-body-1"))
+            rules += [(licence, (t, *m)) for m in middles]
+            rules += [(licence, (t, *m, g)) for m in ((), *middles) for g in ends]
+    for kind, names in _CC.items():
+        tails = ("International License", "Unported License", "Generic License", "License", "International", "")
+        full = [f"{h} {a} Creative Commons {n} # {t}" for h in _HEADS for a in ("a", "the", "") for n in names for t in tails]
+        short = [f"{h} {a} CC {kind} #" for h in _HEADS for a in ("", "a", "the")]
+        rules += [(f"CC-{kind.upper()}-#", (x,)) for x in add(f"cc-{kind}", full + short)]
+    return sentences, rules
+
+
+_MORE_SENTENCES, _MORE_RULES = _families()
+SENTENCES |= _MORE_SENTENCES
+
 # A licence's name and the identifiers that establish it, in order.
 RULES = (
     ("MIT", ("mit-grant", "mit-condition", "mit-warranty")),
     ("MIT", ("mit-title", "mit-grant", "mit-condition", "mit-warranty")),
     ("MIT", ("mit-title-2", "mit-grant", "mit-condition", "mit-warranty")),
+    *(("MIT", (t, *r)) for t in ("mit-title", "mit-title-2") for r in (("mit-grant", "mit-condition"), ("mit-grant",), ())),
     ("MIT", ("mit-grant",)),
     ("MIT", ("mit-notice",)),
     ("MIT", ("mit-notice-2",)),
     ("MIT", ("mit-notice-3",)),
     ("Apache-#", ("apache-notice-2", "apache-use", "apache-copy", "apache-warranty")),
+    ("Apache-#", ("apache-title", "apache-notice-2", "apache-use", "apache-copy", "apache-warranty")),
     ("Apache-#", ("apache-notice-2", "apache-use")),
     ("Apache-#", ("apache-notice-2",)),
     ("Apache-#", ("apache-notice",)),
@@ -104,11 +201,23 @@ RULES = (
     ("GPL-#-or-later", ("gpl-grant-2",)),
     ("LGPL-#", ("lgpl-notice",)),
     ("AGPL-#", ("agpl-notice",)),
-    ("BSD", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty")),
-    ("BSD", ("bsd-grant", "bsd-source", "bsd-binary")),
+    *(
+        (name, ("bsd-grant", "bsd-source", "bsd-binary", *more, *end))
+        for end in (("bsd-warranty",), ())
+        for name, more in (
+            *(("BSD-4-Clause", ("bsd-advertising", e)) for e in ("bsd-endorse", "bsd-endorse-2", "bsd-endorse-3")),
+            *(("BSD-3-Clause", (e,)) for e in ("bsd-endorse", "bsd-endorse-2", "bsd-endorse-3")),
+            ("BSD-2-Clause", ()),
+        )
+    ),
     ("BSD", ("bsd-notice",)),
     ("ISC", ("isc-grant",)),
-    ("MPL-#", ("mpl-notice",)),
+    *(
+        ("MPL-#", (*title, "mpl-notice", *copy))
+        for title in (("mpl-title",), ())
+        for copy in (("mpl-copy",), ("mpl-copy-2",), ())
+    ),
+    ("MPL-#", ("mpl-title",)),
     ("Unlicense", ("unlicense-grant",)),
     ("CC-BY-#", ("cc-by-notice",)),
     ("CC-BY-#", ("cc-by-name",)),
@@ -119,11 +228,20 @@ RULES = (
     ("CC-BY-NC-SA-#", ("cc-by-nc-sa-notice",)),
     ("CC-BY-NC-ND-#", ("cc-by-nc-nd-notice",)),
     ("CC0-#", ("cc0-notice",)),
+    ("#", ("spdx",)),
+    *_MORE_RULES,
 )
 #: Every known sentence holds one of these; texts with none need no closer look.
-MARKERS = ("licens", "permission", "software", "redistribut", "copyright", "public domain")
+#: They lie within a word, as lines may end between words.
+MARKERS = re.compile(
+    r"licens|permission|software|redistribut|copyright|domain|advertising|creative|mozilla|\bcc\b"
+)
 
-_TOKEN = re.compile(r"[a-z0-9#]+(?:\.[0-9]+)*|\n|[.:;!?](?=\s|$)")
+_TOKEN = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*|\n|[.:;!?](?=\s|$)")
+_PATTERN = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*|[#*]")
+_LONGEST_NAME = 12  # words that a * stands for
+_SPDX_ID = r"\(*[\w.+:-]+\)*"
+_SPDX = re.compile(rf"(?i:spdx-license-identifier):[ \t]*({_SPDX_ID}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_SPDX_ID})*)")
 _NUMBER = re.compile(r"[0-9]+(\.[0-9]+)*")
 
 
@@ -131,7 +249,7 @@ def _words(text: str) -> tuple[list[tuple[str, int, int]], set[int]]:
     """Words with their places, and the numbers of words before which a sentence may break."""
     words, breaks = [], {0}
     for m in _TOKEN.finditer(text):
-        if m[0][0].isalnum() or m[0][0] == "#":
+        if m[0][0].isalnum():
             words.append((m[0], m.start(), m.end()))
         else:
             breaks.add(len(words))
@@ -143,28 +261,40 @@ def _known() -> dict[str, list[tuple[list[str], str]]]:
     out: dict[str, list[tuple[list[str], str]]] = {}
     for name, sentence in SENTENCES.items():
         low = sentence.lower()
-        if not any(m in low for m in MARKERS):
+        if not MARKERS.search(low):
             raise ValueError(f"sentence {name} has none of the markers")
-        words = [w for w, _, _ in _words(low)[0]]
-        out.setdefault(words[0], []).append((words, name))
+        forms = [[]]
+        for word in _PATTERN.findall(low):
+            lengths = range(1, _LONGEST_NAME + 1) if word == "*" else (1,)
+            forms = [f + [word] * n for f in forms for n in lengths]
+        for words in forms:
+            out.setdefault(words[0], []).append((words, name))
     for sentences in out.values():
         sentences.sort(key=lambda s: -len(s[0]))
     return out
 
 
 _KNOWN = _known()
-_BY_LENGTH = sorted(RULES, key=lambda r: -len(r[1]))
+_BY_FIRST: dict[str, list[tuple[str, tuple[str, ...]]]] = {}
+for _rule in sorted(RULES, key=lambda r: -len(r[1])):
+    _BY_FIRST.setdefault(_rule[1][0], []).append(_rule)
 
 
 def known_sentences(text: str) -> list[tuple[str, str, int, int]]:
     """(identifier, number it names, begin, end) of the known sentences, in order."""
     low = text.lower()
-    if not any(m in low for m in MARKERS):
+    if not MARKERS.search(low):
         return []
     if len(low) != len(text):  # letters whose lower case is longer would shift the places
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
     words, breaks = _words(low)
     out, at = [], 0
+    for m in _SPDX.finditer(text):
+        named = m[1].rstrip(".:-")
+        while named.endswith(")") and named.count(")") > named.count("("):
+            named = named[:-1].rstrip(".:-")
+        if named:
+            out.append(("spdx", named, m.start(), m.start(1) + len(named)))
     while at < len(words):
         step = 1
         if at in breaks:
@@ -173,20 +303,20 @@ def known_sentences(text: str) -> list[tuple[str, str, int, int]]:
                 if end in breaks:
                     found = [w for w, _, _ in words[at:end]]
                     numbers = [w for w, k in zip(found, sentence, strict=True) if k == "#"]
-                    same = all(w == k or k == "#" for w, k in zip(found, sentence, strict=True))
+                    same = all(w == k or k in "#*" for w, k in zip(found, sentence, strict=True))
                     if same and all(map(_NUMBER.fullmatch, numbers)):
                         out.append((name, "".join(numbers), words[at][1], words[end - 1][2]))
                         step = len(sentence)
                         break
         at += step
-    return out
+    return sorted(out, key=lambda s: s[2])
 
 
 def licences(found: list[tuple[str, str, int, int]]) -> list[str]:
     """The licences that a sequence of sentences establishes, in order."""
     names, out, at = [s[0] for s in found], [], 0
     while at < len(names):
-        for licence, rule in _BY_LENGTH:
+        for licence, rule in _BY_FIRST.get(names[at], ()):
             if tuple(names[at : at + len(rule)]) == rule:
                 number = next((s[1] for s in found[at : at + len(rule)] if s[1]), "")
                 out.append(licence.replace("#", number))

@@ -6,6 +6,7 @@ import random
 import re
 
 import pyarrow as pa
+import pytest
 from almanack.llm import licenses, pii, repetition, secrets
 from almanack.llm.queries import QUERIES
 from brute import repetition as plain_repetition
@@ -233,3 +234,49 @@ def test_licences_query(spark):
     for r in got:
         assert r.licences == [plain[s] for s in rows[r.doc_id].split("\n") if s in plain]
     assert sum(bool(r.licences) for r in got) > 10
+
+
+APACHE = """Copyright 2020 Somebody
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU %s as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful."""
+BSD = ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty")
+
+
+@pytest.mark.parametrize("mark", ["", "# ", "// ", " * ", "## ", "> "])
+def test_licences_in_comments(mark):
+    mit = ".\n\n".join(licenses.SENTENCES[k] for k in ("mit-title-2", "mit-grant", "mit-condition", "mit-warranty"))
+    bsd = ".\n\n".join(licenses.SENTENCES[k].replace("*", "Foo Bar, Inc.") for k in BSD)
+    bsd2 = ".\n\n".join(licenses.SENTENCES[k] for k in BSD if k != "bsd-endorse")
+    for text, want in (
+        (APACHE, "Apache-2.0"), ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"), (mit, "MIT"),
+        ("MIT License", "MIT"), (mit.replace(" of ", "\nof "), "MIT"), (bsd, "BSD-3-Clause"), (bsd2, "BSD-2-Clause"),
+        (GPL % "General Public License", "GPL-3-or-later"), (GPL % "Affero General Public License", "AGPL-3-or-later"),
+        (GPL % "Lesser General Public License", "LGPL-3-or-later"),
+        ("SPDX-License-Identifier: (Apache-2.0 OR MIT)", "(Apache-2.0 OR MIT)"),
+        ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 */", "GPL-2.0-only WITH Classpath-exception-2.0"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0\nInternational"
+         " License.", "CC-BY-NC-ND-4.0"),
+        ("This work is licensed under the Creative Commons Attribution-NonCommercial 3.0 Unported License", "CC-BY-NC-3.0"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was"
+         " not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+        ("GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007\n\nEveryone is permitted to copy and distribute"
+         " verbatim copies\nof this license document, but changing it is not allowed.", "AGPL-3"),
+    ):
+        lines = "\n".join(mark + line for line in text.split("\n"))
+        assert licenses.licences(licenses.known_sentences(lines)) == [want], lines

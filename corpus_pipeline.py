@@ -42,8 +42,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of context windows, a row each."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    """Pieces of context windows with their ids, a row each."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, with_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import zlib
 
 import corpus_pipeline
 import numpy as np
@@ -262,3 +263,11 @@ def test_cotraining_hands_over_from_all_unlabelled_rows(spark):
     assert model.handed_over > 4 * 1_000
     free = spark.range(200, 20_000).count()
     assert model.handed_over <= 2 * free
+
+
+def test_pipeline_keeps_the_packed_ids(spark):
+    docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet")
+    got = corpus_pipeline.packing(spark, docs, f"{DATA}/sf0.001").collect()
+    assert {r.doc_id for r in got} == {r.doc_id for r in docs.select("doc_id").collect()}
+    for r in got:
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .cotraining import classify_quality
 from .decontaminate import contaminated
+from .fill_in_middle import fill_in_middle, restored_digests
 from .licenses import scan_licences
 from .oracles import ORACLES
 from .packing import pack_documents
@@ -16,8 +17,10 @@ from .parity import jaccard_components
 from .pii import find_personal_data
 from .repetition import repetition_rules
 from .secrets import find_secrets
+from .spelling import spelling_variants
 from .storage import shared_folder
 from .token_files import token_digests, write_token_files
+from .url_reputation import Rule, judge_urls
 from .warc import read_warc, write_warc
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -88,3 +91,28 @@ def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+#: The rules of the query's contract.
+URL_RULES = (
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+)
+
+
+@_query
+def op11_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"), URL_RULES)
+
+
+@_query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return restored_digests(fill_in_middle(_table(spark, sf_dir, "documents")))
+
+
+@_query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))

@@ -28,7 +28,6 @@ ODD = [
 
 def plain(path: str, texts: list) -> list[list[int]]:
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 

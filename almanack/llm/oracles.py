@@ -45,4 +45,105 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM placed
 """
 
-ORACLES = {"op5_decontamination": DECONTAMINATION, "op8_warc": WARC}
+_URL = r"regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)([^?#]*)', {})"
+_UPPER, _LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _reputation(level: str, above: str, parent: str) -> str:
+    """Groups of one level with the posterior (alpha, beta) that the parent's one leads to."""
+    return f"""
+{level}_groups AS (
+  SELECT g.*, p.alpha / (p.alpha + p.beta) AS prior, p.alpha + p.beta AS worth
+  FROM (SELECT {above} AS above, {level}, sum(n) AS n, sum(bad) AS bad FROM counted GROUP BY ALL) AS g
+  JOIN {parent} AS p ON p.name = g.above),
+{level}_moments AS (
+  SELECT sum((bad - n * prior) ** 2 - n * prior * (1 - prior)) AS excess,
+         sum(n * (n - 1) * prior * (1 - prior)) AS room
+  FROM {level}_groups WHERE n > 0),
+{level}_worth AS (
+  SELECT 1 / least(greatest(CASE WHEN room > 0 THEN excess / room ELSE 0 END, 1 / 1001), 1 / 2) - 1 AS most
+  FROM {level}_moments),
+{level}_posterior AS (
+  SELECT {level} AS name, prior * least(most, worth) + bad AS alpha,
+         (1 - prior) * least(most, worth) + n - bad AS beta
+  FROM {level}_groups, {level}_worth)"""
+
+
+URLS = f"""
+WITH parts AS (
+  SELECT page_id, translate({_URL.format(1)}, '{_UPPER}', '{_LOWERED}') AS host, {_URL.format(2)} AS path FROM pages),
+sites AS (
+  SELECT *, string_split(site, '.') AS names,
+         regexp_matches(site, '^[0-9]+(\\.[0-9]+){{3}}$|^\\[') AS numbers
+  FROM (SELECT *, regexp_replace(regexp_replace(host, '^[^@]*@', ''), '\\.?(:[0-9]*)?$', '') AS site FROM parts)),
+sized AS (
+  SELECT *, CASE WHEN len(names) > 2 AND length(names[-1]) = 2
+                  AND names[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org') THEN 2 ELSE 1 END AS taken
+  FROM sites),
+levelled AS (
+  SELECT page_id, host, path, site,
+         CASE WHEN numbers THEN site ELSE array_to_string(names[greatest(len(names) - taken, 1):], '.') END AS domain,
+         CASE WHEN numbers THEN '' ELSE array_to_string(names[greatest(len(names) - taken + 1, 1):], '.') END AS suffix
+  FROM sized),
+outcomes AS (
+  SELECT doc_id AS page_id, count(*) AS n, sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels WHERE (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY doc_id),
+counted AS (
+  SELECT 'all' AS whole, site, domain, suffix, coalesce(sum(n), 0) AS n, coalesce(sum(bad), 0) AS bad
+  FROM levelled LEFT JOIN outcomes USING (page_id) GROUP BY ALL),
+top AS (SELECT 'all' AS name, 1 + sum(bad) AS alpha, 9 + sum(n) - sum(bad) AS beta FROM counted),
+{_reputation("suffix", "whole", "top")},
+{_reputation("domain", "suffix", "suffix_posterior")},
+{_reputation("site", "domain", "domain_posterior")},
+blocked AS (
+  SELECT name AS site FROM site_posterior
+  WHERE alpha / (alpha + beta) - 1.645 * sqrt(alpha * beta / ((alpha + beta) ** 2 * (alpha + beta + 1))) > 0.3),
+rules AS (
+  SELECT * FROM (VALUES ('org/', 'allow', 'org', '/'), ('example.org/es/', 'block', 'example.org', '/es/'),
+    ('example.org/en/1', 'block', 'example.org', '/en/1'), ('com/fr/', 'allow', 'com', '/fr/'),
+    ('com/de/', 'block', 'com', '/de/')) AS r(rule, ruled, rule_host, rule_path)),
+hosts AS (SELECT DISTINCT host FROM parts),
+host_rules AS (SELECT * FROM hosts JOIN rules ON host = rule_host OR ends_with(host, '.' || rule_host)),
+urls AS (SELECT DISTINCT host, path FROM parts),
+ruled AS (
+  SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(ruled, length(rule)) AS ruled
+  FROM urls JOIN host_rules USING (host) WHERE starts_with(path, rule_path) GROUP BY host, path)
+SELECT page_id, host, path, rule,
+       coalesce(ruled, CASE WHEN site IN (SELECT site FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
+FROM levelled LEFT JOIN ruled USING (host, path)
+"""
+
+
+def _drawn(k: int) -> str:
+    return f"CAST('0x' || substr(drawn, {8 * k - 7}, 8) AS BIGINT)"
+
+
+FILL_IN_MIDDLE = f"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS drawn
+  FROM documents),
+places AS (
+  SELECT *, len(u) AS n, {_drawn(1)} % (len(u) + 1) AS x, {_drawn(2)} % (len(u) + 1) AS y,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+              WHEN {_drawn(4)} % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM units),
+parts AS (
+  SELECT *, array_to_string(u[1:least(x, y)], '') AS p,
+         array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+         array_to_string(u[greatest(x, y) + 1:], '') AS s
+  FROM places)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+ORACLES = {
+    "op5_decontamination": DECONTAMINATION,
+    "op8_warc": WARC,
+    "op11_url_reputation": URLS,
+    "op12_fill_in_middle": FILL_IN_MIDDLE,
+}

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 BROADCAST_BYTES = 64 << 20
+#: Characters that a text is looked up by, as a piece of it.
+GRAM = 3
+#: Characters of texts times needles up to which all are compared, and bytes of such needles.
+SCAN_CHARS, SCAN_BYTES = 2_000_000_000, 4 << 20
 
 
 def value_bytes(df: DataFrame) -> Column:
@@ -46,77 +51,92 @@ def contains_join(
     text: str,
     needles: Sequence[str],
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    max_scan: int = SCAN_CHARS,
 ) -> DataFrame:
     """Inner join on: the left text contains every needle of the right row.
 
     Case matters, an empty needle is in every text, and a NULL matches nothing.
 
-    Comparing each text with each needle would be a cross join. Here a text is
-    looked up by its substrings whose length is a power of two: these are the
-    heads of needles, each as long as the largest power within the needle. A
-    head that is found gives the lengths of its needles, and the substrings of
-    these lengths are looked up as needles: equi joins only, and a plan that
-    grows with the logarithm of the longest needle. The needles are taken one
-    after the other, the one with most different values first, and each step
-    looks up what the texts hold of the needles so far. So no candidate is made
-    that lacks a needle, also where many right rows share one.
+    Texts and needles are measured. Where characters times needles are at most
+    ``max_scan``, each text is compared with an array of all needles. Beyond that
+    the texts are posted under their grams, pieces of ``GRAM`` characters, as
+    pairs of 64-bit numbers: hash of text, hash of gram. A right row is looked up
+    by one gram, the rarest that its needles have, as counted over all texts;
+    needles shorter than ``GRAM`` are grams of their own length. Only what is
+    found under that gram is brought back by the hash of its text and tested. A
+    row with a gram that no text has goes before the lookup. Joins are equi
+    joins, and the plan does not grow with lengths or numbers.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
     known = right.dropna(subset=list(needles))
-    # One job measures the needles: their bytes, how many there are, the longest.
+    sizes = F.array_distinct(F.array(*(_gram_size(n) for n in needles)))
     measured = known.agg(
         value_bytes(known).alias("size"),
-        F.array(*(F.approx_count_distinct(n) for n in needles)).alias("distinct"),
-        F.array(*(F.coalesce(F.max(F.length(n)), F.lit(0)) for n in needles)).alias("longest"),
+        F.count("*").alias("rows"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(sizes)))).alias("grams"),
     ).first()
-    order = sorted(range(len(needles)), key=lambda i: -measured["distinct"][i])
-    keys: list[str] = []
-    found = left
-
-    def sized(table: DataFrame) -> DataFrame:
-        return F.broadcast(table) if measured["size"] <= max_broadcast_bytes else table
-
-    for i in order:
-        name, before = needles[i], list(keys)
-        keys.append(name)
-        table = known if len(keys) == len(needles) else known.select(*keys).distinct()
-        heads = known.select(*before, *_head(F.col(name))).distinct()
-        hits = _with_heads(found, text, measured["longest"][i]).join(
-            sized(heads), [*before, "_power", "_head"]
-        )
-        at, size = F.col("_at"), F.col("_size")
-        whole = hits.filter(at + size - 1 <= F.length(text)).withColumn(
-            name, F.substring(F.col(text), at, size)
-        )
-        found = whole.join(sized(table), list(keys))
-        # A needle that occurs again counts where it occurs first.
-        found = found.filter(F.instr(F.col(text), F.col(name)) == at)
-        found = found.drop("_at", "_power", "_head", "_size")
-    return found.select(*left.columns, *right.columns)
-
-
-def _head(needle: Column) -> list[Column]:
-    """The largest power of two within the length (0: an empty needle), the head, the length."""
-    size = F.length(needle)
-    power = F.when(size > 0, F.pow(F.lit(2), F.length(F.bin(size)) - 1)).otherwise(0)
-    power = power.cast("int")
-    return [
-        power.alias("_power"),
-        F.substring(needle, F.lit(1), power).alias("_head"),
-        size.alias("_size"),
-    ]
-
-
-def _with_heads(df: DataFrame, text: str, longest: int) -> DataFrame:
-    """A row for each position of the text and each power of two that fits there."""
-    powers = [0, *(1 << k for k in range(longest.bit_length()))]
-    at, size = F.col("_at"), F.length(text)
-    starts = df.withColumn("_at", F.explode(F.sequence(F.lit(1), F.greatest(size, F.lit(1)))))
-    fits = F.filter(
-        F.array(*map(F.lit, powers)),
-        lambda p: F.when(p == 0, at == 1).otherwise(at + p - 1 <= size),
-    )
-    pieces = starts.withColumn("_power", F.explode(fits))
-    return pieces.withColumn("_head", F.substring(F.col(text), at, F.col("_power")))
+    chars = left.agg(F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("chars")).first()["chars"]
+    if measured["size"] <= min(max_broadcast_bytes, SCAN_BYTES) and chars * measured["rows"] <= max_scan:
+        return _scanned(left, known, text, needles)
+
+    def sized(table: DataFrame, times: int = 1) -> DataFrame:
+        return F.broadcast(table) if measured["size"] * times <= max_broadcast_bytes else table
+
+    marked = left.withColumn("_text", F.xxhash64(text))
+    posted = marked.select("_text", F.explode(_grams(F.col(text), measured["grams"] or [GRAM])).alias("_gram"))
+    rows = known.select(*needles).distinct()
+    own = F.array_distinct(F.flatten(F.array(*(_grams_of_needle(F.col(n)) for n in needles))))
+    wanted = rows.select(*needles, F.explode(own).alias("_gram"))
+    # A gram is eight bytes for a character of a needle.
+    held = posted.join(sized(wanted.select("_gram").distinct(), 8), "_gram")
+    texts_with = held.groupBy("_gram").agg(F.count("*").alias("_n"))
+    rarity = F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram")
+    rarest = wanted.join(texts_with, "_gram", "left").groupBy(*needles).agg(F.min(rarity).alias("_rarest"))
+    keyed = rarest.where("_rarest.n > 0").select(*needles, F.col("_rarest._gram").alias("_gram"))
+    candidates = posted.join(sized(keyed, 2), "_gram").select("_text", *needles).distinct()
+    found = marked.join(candidates, "_text").where(_holds_all(F.col(text), needles))
+    return found.join(sized(known), list(needles)).select(*left.columns, *right.columns)
+
+
+def _holds_all(text: Column, needles: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.contains(text, F.col(n)) for n in needles])
+
+
+def _scanned(left: DataFrame, known: DataFrame, text: str, needles: Sequence[str]) -> DataFrame:
+    """Each text against an array of all right rows, which reaches the tasks as one value."""
+    array = known.agg(F.collect_list(F.struct(*known.columns)).alias("all")).scalar()
+
+    def fits(row: Column) -> Column:
+        return reduce(Column.__and__, [F.contains(F.col(text), row[n]) for n in needles])
+
+    found = left.withColumn("_rows", array).withColumn("_row", F.explode(F.filter("_rows", fits)))
+    return found.select(*left.columns, *(F.col("_row")[c].alias(c) for c in known.columns))
+
+
+def _gram_size(needle: str) -> Column:
+    return F.least(F.length(needle), F.lit(GRAM))
+
+
+def _pieces(text: Column, size: int) -> Column:
+    """Hashes of all pieces of ``size`` characters; of no characters, one piece that all texts have."""
+    if size == 0:
+        return F.when(text.isNotNull(), F.array(F.xxhash64(F.lit(0))))
+    # A match of no width at each place, with what lies ahead of it: pieces that overlap.
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+    return F.transform(pieces, lambda piece: F.xxhash64(F.lit(size), piece))
+
+
+def _grams(text: Column, sizes: Sequence[int]) -> Column:
+    """The different grams of the given sizes in a text, NULL for a NULL."""
+    return F.array_distinct(F.flatten(F.array(*(_pieces(text, k) for k in sizes))))
+
+
+def _grams_of_needle(needle: Column) -> Column:
+    """All grams of ``GRAM`` characters, or a shorter needle as a whole."""
+    whole = F.length(needle)
+    grams = _pieces(needle, GRAM)
+    for size in range(GRAM - 1, -1, -1):
+        grams = F.when(whole == size, _pieces(needle, size)).otherwise(grams)
+    return grams

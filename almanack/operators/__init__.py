@@ -10,6 +10,7 @@ from .aggregates import (
 )
 from .clustering import assemble, fit_kmeans, nearest_center
 from .joins import bounded_broadcast, contains_join, nested_pair_join
+from .ranking import first_rows, key_share, sample_by_key, with_positions
 from .regression import amplitude, fit_plane, seasonal_amplitude
 
 __all__ = [
@@ -19,13 +20,17 @@ __all__ = [
     "assemble",
     "bounded_broadcast",
     "contains_join",
+    "first_rows",
     "fit_kmeans",
     "fit_plane",
     "having_min_counts",
+    "key_share",
     "mean_where",
     "nearest_center",
     "nested_pair_join",
     "rows_at_max",
+    "sample_by_key",
     "seasonal_amplitude",
     "share_where",
+    "with_positions",
 ]

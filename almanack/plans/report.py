@@ -45,16 +45,24 @@ def _wide(
     keyed = sums.join(bounded_broadcast(stores, max_broadcast_bytes), "store_id").join(
         bounded_broadcast(products, max_broadcast_bytes), "product_id"
     )
-    named = F.coalesce(F.col("week").between(1, weeks), F.lit(False))
-    columns = {f"W{n}": F.col("week") == n for n in range(1, weeks + 1)} | {OTHER: ~named}
+    # A sparse pivot: sums by key and slot first, of which a key has a row for each week with
+    # sales, then these few are set in place. Slot 0 is for weeks without a column.
+    slot = F.when(F.col("week").between(1, weeks), F.col("week")).otherwise(F.lit(0)).cast("int")
+    slots = {f"W{n}": n for n in range(1, weeks + 1)} | {OTHER: 0}
+    filled = (
+        keyed.withColumn("slot", slot)
+        .groupBy(*KEYS)
+        .pivot("slot", list(slots.values()))
+        .agg(F.sum("net").alias("net"), F.sum("units").alias("units"))
+    )
     totals = [
-        F.coalesce(F.round(F.sum(F.when(one, F.col(measure))), 2), F.lit(0.0)).alias(f"{measure}_{w}")
+        F.coalesce(F.round(F.col(f"{n}_{measure}"), 2), F.lit(0.0)).alias(f"{measure}_{name}")
         for measure in ("net", "units")
-        for w, one in columns.items()
+        for name, n in slots.items()
     ]
-    wide = keyed.groupBy(*KEYS).agg(*totals)
-    wide = wide.withColumn("year", F.concat(F.lit("RY"), F.col("year").cast("string")))
-    return wide.withColumn("unique_key", underscored(*KEYS)), list(columns)
+    year = F.concat(F.lit("RY"), F.col("year").cast("string")).alias("year")
+    wide = filled.select(year, *KEYS[1:], *totals)
+    return wide.withColumn("unique_key", underscored(*KEYS)), list(slots)
 
 
 def _weeks(measure: str, columns: list[str]) -> Column:

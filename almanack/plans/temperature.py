@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanack.functions import mean_fahrenheit
+from almanack.operators.ranking import first_rows
 
 TMAX, TMIN = "TMAX", "TMIN"
 
@@ -22,15 +23,12 @@ def station_temperature(
     """``sid, tave`` with the station's columns, in Fahrenheit.
 
     ``limit`` keeps only the first so many maxima and so many minima, in order
-    of station, date and value.
+    of station, date and value. They are selected by rank, not by a top-n.
     """
     data = measurements.filter(F.col("measure").isin(TMAX, TMIN))
     if limit is not None:
-        order = ["sid", "date", "value"]
-        first = [
-            data.filter(F.col("measure") == kind).orderBy(*order).limit(limit)
-            for kind in (TMAX, TMIN)
-        ]
+        kinds = [data.filter(F.col("measure") == kind) for kind in (TMAX, TMIN)]
+        first = [first_rows(rows, limit, "sid", "date", "value") for rows in kinds]
         data = first[0].unionByName(first[1])
 
     def of(kind: str, value: Column) -> Column:

@@ -208,6 +208,20 @@ ORACLES: dict[str, str] = {
     "weekly_report_documents": _WEEKLY_DOCUMENTS,
     "station_temperature": _STATION_TEMPERATURE,
     "station_temperature_sql": _STATION_TEMPERATURE,
+    "station_temperature_first": """
+        WITH hi AS (
+          SELECT user_id, CAST(ts AS DATE) AS d, value FROM events WHERE event_type = 'view'
+          ORDER BY CAST(user_id AS VARCHAR), d, value LIMIT 1500),
+        lo AS (
+          SELECT user_id, CAST(ts AS DATE) AS d, value FROM events WHERE event_type = 'purchase'
+          ORDER BY CAST(user_id AS VARCHAR), d, value LIMIT 1500),
+        means AS (
+          SELECT user_id, avg((hi.value + lo.value) / 20 * 1.8 + 32) AS tave
+          FROM hi JOIN lo USING (user_id, d) GROUP BY user_id)
+        SELECT CAST(c_custkey AS VARCHAR) AS sid, round(tave, 8) AS tave,
+               round(c_acctbal / 100, 8) AS lat, CAST(c_nationkey AS DOUBLE) AS lon, c_name AS name
+        FROM means JOIN customer ON user_id = c_custkey
+    """,
     "cluster_climate_profile": _CLIMATE_PROFILE,
     "max_decade_by_area": _MAX_DECADE,
     "county_rates_located": _COUNTY_RATES,
@@ -369,6 +383,20 @@ ORACLES: dict[str, str] = {
         FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000)
         JOIN customer ON o_custkey = c_custkey
     """,
+    "first_rows_before_join": """
+        SELECT o_orderkey, o_totalprice, c_name
+        FROM (SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10000)
+        JOIN customer ON o_custkey = c_custkey
+    """,
+    "sorted_positions": """
+        SELECT o_orderkey, o_totalprice,
+               row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position
+        FROM orders
+    """,
+    "monthly_positions": f"""
+        SELECT row_number() OVER (ORDER BY month) AS position, month, round(avg(tmax), 4) AS tmax
+        FROM ({_DAYS}) GROUP BY month
+    """,
     "top_n": """
         SELECT o_orderkey, o_custkey, o_totalprice FROM orders
         ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
@@ -376,6 +404,11 @@ ORACLES: dict[str, str] = {
     "sample_rows": """
         SELECT CAST(0 AS BIGINT) AS unknown, CAST(0 AS BIGINT) AS repeated, true AS size_as_asked
     """,
+    "sample_rows_by_key": """
+        SELECT event_id, user_id, event_type FROM events
+        WHERE CAST('0x' || substr(md5('7:' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT)
+              < CAST(floor(0.1 * 4294967296) AS BIGINT)
+    """,
     # Scalar functions
     "fn_string": """
         SELECT c_custkey, c_name || '_x_' || c_mktsegment AS joined, c_mktsegment AS trimmed,

@@ -525,6 +525,38 @@ def limit_before_join(spark, sf_dir):
     )
 
 
+@_query
+def first_rows_before_join(spark, sf_dir):
+    """As many rows as no single task should hold."""
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    first = O.first_rows(orders, 10_000, "o_orderdate", "o_orderkey")
+    return first.join(customer, first.o_custkey == customer.c_custkey).select(
+        "o_orderkey", "o_totalprice", "c_name"
+    )
+
+
+@_query
+def station_temperature_first(spark, sf_dir):
+    found = P.station_temperature(
+        st.measurements(spark, sf_dir), st.stations(spark, sf_dir), limit=1_500
+    )
+    return _rounded(found, "tave", "lat", digits=8)
+
+
+@_query
+def sorted_positions(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    placed = O.with_positions(orders, F.desc("o_totalprice"), "o_orderkey")
+    return placed.select("o_orderkey", "o_totalprice", "position")
+
+
+@_query
+def monthly_positions(spark, sf_dir):
+    return O.with_positions(P.monthly_averages(st.weather_days(spark, sf_dir)), "month").select(
+        "position", "month", F.round("tmax", 4).alias("tmax")
+    )
+
+
 @_query
 def top_n(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
@@ -550,6 +582,13 @@ def sample_rows(spark, sf_dir):
     )
 
 
+@_query
+def sample_rows_by_key(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    sample = O.sample_by_key(events, 0.1, "event_id", seed=7)
+    return sample.select("event_id", "user_id", "event_type")
+
+
 # Scalar functions ---------------------------------------------------------
 
 

@@ -9,7 +9,8 @@ from .aggregates import (
     share_where,
 )
 from .clustering import assemble, fit_kmeans, nearest_center
-from .joins import bounded_broadcast, contains_join, nested_pair_join
+from .joins import bounded_broadcast, contains_join, nested_pair_join, stored_dimension
+from .moments import merge_moments, moments
 from .ranking import first_rows, key_share, sample_by_key, with_positions
 from .regression import amplitude, fit_plane, seasonal_amplitude
 
@@ -26,11 +27,14 @@ __all__ = [
     "having_min_counts",
     "key_share",
     "mean_where",
+    "merge_moments",
+    "moments",
     "nearest_center",
     "nested_pair_join",
     "rows_at_max",
     "sample_by_key",
     "seasonal_amplitude",
     "share_where",
+    "stored_dimension",
     "with_positions",
 ]

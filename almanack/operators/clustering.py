@@ -3,14 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from math import sqrt
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from almanack.operators.joins import BROADCAST_BYTES, stored_dimension
+
 #: Centers that reach the tasks in one array.
 BLOCK_CENTERS = 10_000
+#: Up to so many centers, each point is compared with all of them.
+SCAN_CENTERS = 500
+#: The grid has a cell for so many centers on average.
+CENTERS_PER_CELL = 2
+#: So many levels above a cell, at most, is the nearest cell with a center that it is listed for.
+NEAR_LEVELS = 2
+#: Cells count as larger by this part of their width, for what rounding may move.
+SLACK = 1e-6
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str) -> DataFrame:
@@ -36,41 +48,160 @@ def nearest_center(
     columns: Sequence[str],
     center: str = "cluster",
     block_centers: int = BLOCK_CENTERS,
+    scan_centers: int = SCAN_CENTERS,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the nearest center's number (the smaller on a tie) to each point.
 
     ``centers`` has the number in column ``center`` and the same coordinate
-    columns as the points. The centers are counted and reach the tasks in arrays
-    of about ``block_centers``, one after the other; a point keeps the nearest so
-    far. So a point is never paired with a center in a row of its own and nothing
-    is shuffled. A coordinate that is NULL or NaN gives NULL.
+    columns as the points. A center that is nowhere (a coordinate is NULL, NaN or
+    infinite) is left out; a point that is nowhere gets NULL.
+
+    Few centers, or those of more than two coordinates, reach the tasks in
+    arrays of about ``block_centers``, and a point is compared with all. Of many
+    centers in a plane or on a line, a grid is laid over them, and each cell has the list of
+    centers that are nearest to some place in it: a point looks up its cell and
+    compares a few. Points that are far from all centers, by the measure of the
+    grid, are compared with all. Either way a point never becomes several rows.
     """
-    blocks = max(1, -(-centers.count() // block_centers))
-    packed = F.struct(
-        F.col(center).alias("number"),
-        *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)),
+    xs = [f"x{i}" for i in range(len(columns))]
+    places = [F.col(c).cast("double").alias(x) for c, x in zip(columns, xs, strict=True)]
+    known = centers.select(F.col(center).alias("number"), *places).where(_somewhere(xs))
+    ends = [f(x).alias(f"{f.__name__}_{x}") for f in (F.min, F.max) for x in xs[:2]]
+    extent = known.agg(F.count("*").alias("n"), *ends).first()
+    place = [F.col(c).cast("double") for c in columns]
+    if extent["n"] <= scan_centers or len(columns) > 2:
+        best = _nearest_of_all(points, known, place, max(1, -(-extent["n"] // block_centers)))
+    else:
+        best = _nearest_by_cell(points, known, place, _Grid(extent, xs), max_broadcast_bytes)
+    found = F.when(_somewhere(columns), F.col("_best")["number"])
+    return best.withColumn(center, found).select(*points.columns, center)
+
+
+def _somewhere(columns: Sequence[str]) -> Column:
+    sizes = [F.abs(F.col(c).cast("double")) for c in columns]
+    # NaN is above infinity.
+    return reduce(Column.__and__, [F.coalesce(s < float("inf"), F.lit(False)) for s in sizes])
+
+
+def _squared(place: Sequence[Column], c: Column) -> Column:
+    return reduce(Column.__add__, [(x - c[f"x{i}"]) * (x - c[f"x{i}"]) for i, x in enumerate(place)])
+
+
+def _first_nearest(array: Column, place: Sequence[Column]) -> Column:
+    """(distance, number) of the nearest in an array, of equally near ones the smaller number."""
+    ranked = F.transform(
+        array, lambda c: F.struct(_squared(place, c).alias("distance"), c["number"].alias("number"))
     )
+    return F.array_min(ranked)
 
-    def distance(c: Column) -> Column:
-        squares = [(F.col(x) - c[f"x{i}"]) * (F.col(x) - c[f"x{i}"]) for i, x in enumerate(columns)]
-        return sum(squares[1:], squares[0])
 
-    # Spark takes no subquery inside a higher-order function, hence the columns.
+def _nearest_of_all(
+    points: DataFrame, known: DataFrame, place: Sequence[Column], blocks: int
+) -> DataFrame:
+    packed = F.struct(*known.columns)
     found = points.withColumn("_best", F.lit(None))
     for block in range(blocks):
-        own = centers.filter(F.pmod(F.xxhash64(center), F.lit(blocks)) == block)
-        array = own.agg(F.sort_array(F.collect_list(packed)).alias("all"))
-        found = found.withColumn("_centers", array.scalar())
-        found = found.withColumn("_distances", F.transform("_centers", distance))
-        # In order of their numbers, the first of the nearest has the smallest.
-        least = F.array_min("_distances")
-        first = F.array_position("_distances", least).cast("int")
-        number = F.try_element_at("_centers", first)["number"]
-        nearest = F.when(
-            least.isNotNull() & ~F.isnan(least),
-            F.struct(least.alias("distance"), number.alias("number")),
-        )
-        # least() passes over NULL: no center so far, or none at a distance.
+        own = known.where(F.pmod(F.xxhash64("number"), F.lit(blocks)) == block)
+        # Spark takes no subquery inside a higher-order function, hence the column.
+        found = found.withColumn("_centers", own.agg(F.collect_list(packed)).scalar())
+        nearest = _first_nearest(F.col("_centers"), place)
+        # least() passes over NULL: a block without centers.
         best = nearest if block == 0 else F.least("_best", nearest)
-        found = found.withColumn("_best", best).drop("_centers", "_distances")
-    return found.withColumn(center, F.col("_best")["number"]).drop("_best")
+        found = found.withColumn("_best", best).drop("_centers")
+    return found
+
+
+class _Grid:
+    """Square cells over the box of the centers, and coarser levels: four cells make one above."""
+
+    def __init__(self, extent, xs: Sequence[str]):
+        self.low = [extent[f"min_{x}"] for x in xs] + [0.0] * (2 - len(xs))
+        high = [extent[f"max_{x}"] for x in xs] + [0.0] * (2 - len(xs))
+        spans = [b - a for a, b in zip(self.low, high, strict=True)]
+        cells = max(1, extent["n"] // CENTERS_PER_CELL)
+        self.width = max(sqrt(spans[0] * spans[1] / cells), max(spans) / cells) or 1.0
+
+    def cell(self, place: Sequence[Column]) -> list[Column]:
+        both = [*place, F.lit(0.0)][:2]
+        return [F.floor((x - low) / self.width) for x, low in zip(both, self.low, strict=True)]
+
+    def corners(self) -> list[tuple[Column, Column]]:
+        """Of the cell (i, j), made a little larger."""
+
+        def edge(name: str, low: float, more: float) -> Column:
+            return F.lit(low) + (F.col(name) + more) * self.width
+
+        ends = (-SLACK, 1 + SLACK)
+        return [(edge("i", self.low[0], a), edge("j", self.low[1], b)) for a in ends for b in ends]
+
+
+def _above(name: str, level: str = "level") -> Column:
+    """The number of the cell so many levels up that a cell is in."""
+    return F.call_function("shiftright", F.col(name), F.col(level))
+
+
+def _nearest_by_cell(
+    points: DataFrame, known: DataFrame, place: Sequence[Column], grid: _Grid, max_broadcast_bytes: int
+) -> DataFrame:
+    # A center in a list is a number and two coordinates.
+    size = F.coalesce(F.sum(F.size("near") * 32 + 64), F.lit(0))
+    cells = stored_dimension(_cell_table(known, grid), max_broadcast_bytes, size)
+    everything = known.agg(F.collect_list(F.struct(*known.columns))).scalar()
+    column, row = grid.cell(place)
+    found = points.withColumns({"_i": column, "_j": row, "_all": everything})
+    cells = cells.select(F.col("i").alias("_i"), F.col("j").alias("_j"), F.col("near").alias("_near"))
+    found = found.join(cells, ["_i", "_j"], "left")
+    near = F.when(F.col("_near").isNotNull(), _first_nearest(F.col("_near"), place)).otherwise(
+        _first_nearest(F.col("_all"), place)
+    )
+    return found.withColumn("_best", near)
+
+
+def _cell_table(known: DataFrame, grid: _Grid) -> DataFrame:
+    """For each cell the centers that are nearest to some place in it, as an array ``near``.
+
+    Cells are those that lie with a center in one cell ``NEAR_LEVELS`` up.
+
+    1. A cell has a deputy: a center of the smallest cell above it (or itself) that has any.
+    2. No place in the cell is farther from its deputy than its farthest corner is. So its
+       centers lie in the nine cells around it on the level whose cells are that wide.
+    3. Of these stay the ones that some corner is not farther from than from the deputy. What
+       is nearer than the deputy to a place in the cell is nearer to a corner too, as
+       the difference of the squared distances is linear.
+    """
+    place = [F.col(x) for x in known.columns if x != "number"]
+    column, row = grid.cell(place)
+    levels = F.explode(F.sequence(F.lit(0), F.lit(NEAR_LEVELS + 1))).alias("level")
+    above = [_above("i").alias("ci"), _above("j").alias("cj")]
+    center = F.struct(*known.columns).alias("center")
+    held = known.select(center, column.alias("i"), row.alias("j"), levels).select("center", "level", *above)
+    deputies = held.groupBy("level", "ci", "cj").agg(F.min("center").alias("deputy"))
+
+    side = 1 << NEAR_LEVELS
+    steps = F.sequence(F.lit(0), F.lit(side - 1))
+    cells = deputies.where(F.col("level") == NEAR_LEVELS).select(
+        (F.col("ci") * side).alias("i0"), (F.col("cj") * side).alias("j0"), F.explode(steps).alias("a")
+    )
+    cells = cells.select("*", F.explode(steps).alias("b")).select(
+        (F.col("i0") + F.col("a")).alias("i"), (F.col("j0") + F.col("b")).alias("j"), levels
+    )
+    cells = cells.select("*", *above).join(deputies, ["level", "ci", "cj"])
+    nearest = F.min(F.struct("level", "deputy")).alias("best")
+    cells = cells.groupBy("i", "j").agg(nearest).select("i", "j", "best.deputy")
+
+    def apart(corner: tuple[Column, Column], name: str) -> Column:
+        return _squared(corner[: len(place)], F.col(name))
+
+    reach = F.sqrt(F.greatest(*(apart(c, "deputy") for c in grid.corners()))) / grid.width
+    # At most NEAR_LEVELS + 1: the deputy is no farther than a diagonal of its cell.
+    wide = F.ceil(F.log2(F.greatest(reach, F.lit(1.0)))).cast("int")
+    cells = cells.withColumn("level", wide)
+    steps = F.sequence(F.lit(-1), F.lit(1))
+    around = cells.select("*", F.explode(steps).alias("di")).select("*", F.explode(steps).alias("dj"))
+    around = around.withColumn("ci", _above("i") + F.col("di")).withColumn("cj", _above("j") + F.col("dj"))
+    pairs = around.join(held, ["level", "ci", "cj"])
+    # Equal but for rounding is near enough to stay.
+    near = [apart(c, "center") <= apart(c, "deputy") * (1 + SLACK) for c in grid.corners()]
+    listed = pairs.where(reduce(Column.__or__, near)).groupBy("i", "j")
+    return listed.agg(F.collect_list("center").alias("near"))

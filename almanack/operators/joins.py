@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from almanack.session import staging_path
+
 BROADCAST_BYTES = 64 << 20
 #: Characters that a text is looked up by, as a piece of it.
 GRAM = 3
@@ -38,6 +40,23 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if size <= max_bytes else df
 
 
+def stored_dimension(
+    df: DataFrame, max_bytes: int = BROADCAST_BYTES, size: Column | None = None
+) -> DataFrame:
+    """As ``bounded_broadcast``, for a table that is costly to compute.
+
+    It is computed once: written to the shared folder, and measured by an
+    observation of the rows as they are written. ``size`` is an aggregate of its
+    bytes, unless it is ``value_bytes``. A task that runs again may be
+    observed twice, which can only take the hint away.
+    """
+    path, observed = staging_path(df.sparkSession, "dimension"), Observation()
+    measure = value_bytes(df) if size is None else size
+    df.observe(observed, measure.alias("size")).write.parquet(path)
+    again = df.sparkSession.read.schema(df.schema).parquet(path)
+    return F.broadcast(again) if (observed.get["size"] or 0) <= max_bytes else again
+
+
 def nested_pair_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Inner equi join whose row is the pair ``(_1, _2)`` of whole input rows."""
     firsts = left.select(F.col(left_key).alias("_k1"), F.struct("*").alias("_1"))

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanack.functions import day_angle
 from almanack.operators.clustering import assemble, fit_kmeans
-from almanack.operators.joins import BROADCAST_BYTES, bounded_broadcast
-from almanack.operators.regression import amplitude
+from almanack.operators.joins import BROADCAST_BYTES, stored_dimension
+from almanack.operators.moments import (
+    mean_of,
+    merge_moments,
+    moments,
+    sample_deviation,
+    wave_amplitude,
+)
+from almanack.operators.regression import SINGULAR, amplitude
 
 TMAX, TMIN, PRCP = "TMAX", "TMIN", "PRCP"
 LOCATION = ("lat", "lon")
@@ -74,6 +83,77 @@ def climate_profile(
     )
 
 
+def cluster_moments(observations: DataFrame) -> DataFrame:
+    """The moments that a profile is made of, for each cluster: these can be merged."""
+
+    def of(kind: str) -> Column:
+        return F.when(F.col("measure") == kind, F.col("value"))
+
+    angle = day_angle("date")
+    wave = F.sin(angle), F.cos(angle)
+    kinds = {"tmax": TMAX, "tmin": TMIN, "precip": PRCP}
+    rows = [F.count_if(F.col("measure") == kind).alias(f"{name}_rows") for name, kind in kinds.items()]
+    return observations.groupBy(F.col("cluster").alias("num")).agg(
+        F.count("*").alias("observations"),
+        *rows,
+        moments(F.col("lat")).alias("lat"),
+        moments(F.col("lon")).alias("lon"),
+        *(moments(of(kind)).alias(name) for name, kind in kinds.items()),
+        moments(*wave, of(TMAX)).alias("tmax_wave"),
+        moments(*wave, of(TMIN)).alias("tmin_wave"),
+    )
+
+
+def merge_clusters(clusters: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The moments of several clusters as one: of all, or of those that agree in ``by``."""
+    columns = ["lat", "lon", "tmax", "tmin", "precip", "tmax_wave", "tmin_wave"]
+    counts = ["observations", "tmax_rows", "tmin_rows", "precip_rows"]
+    merged = merge_moments(clusters, columns, by)
+    sums = clusters.groupBy(*by).agg(*(F.sum(c).alias(c) for c in counts))
+    if by:
+        return sums.join(merged, list(by))
+    whole = sums.select(F.struct("*")).scalar()
+    return merged.withColumn("_sums", whole).select("_sums.*", *columns)
+
+
+def profile_of_moments(
+    clusters: DataFrame, min_tmax: int = 20, min_tmin: int = 20, min_prcp: int = 3
+) -> DataFrame:
+    """The statistics of ``climate_profile`` from moments, with the other columns before them."""
+    enough = (
+        (F.col("tmax_rows") >= min_tmax)
+        & (F.col("tmin_rows") >= min_tmin)
+        & (F.col("precip_rows") >= min_prcp)
+    )
+    stats = ("lat", "lon", "tmax", "tmin", "precip", "tmax_wave", "tmin_wave")
+    return clusters.where(enough).select(
+        *(c for c in clusters.columns if c not in stats and not c.endswith("_rows")),
+        mean_of("lat").alias("lat"),
+        mean_of("lon").alias("lon"),
+        sample_deviation("lat").alias("latstd"),
+        sample_deviation("lon").alias("lonstd"),
+        mean_of("tmax").alias("tmax"),
+        mean_of("tmin").alias("tmin"),
+        sample_deviation("tmax").alias("tmaxstd"),
+        sample_deviation("tmin").alias("tminstd"),
+        mean_of("precip").alias("precip"),
+        wave_amplitude("tmax_wave", SINGULAR).alias("tmax_seasonal_var"),
+        wave_amplitude("tmin_wave", SINGULAR).alias("tmin_seasonal_var"),
+    )
+
+
+def station_observations(
+    measurements: DataFrame,
+    stations: DataFrame,
+    k: int = 2000,
+    seed: int = 1,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Measurements with the place and cluster of their station; the model is applied once."""
+    clustered = cluster_stations(stations, k, seed).select("sid", "lat", "lon", "cluster")
+    return measurements.join(stored_dimension(clustered, max_broadcast_bytes), "sid")
+
+
 def station_cluster_profile(
     measurements: DataFrame,
     stations: DataFrame,
@@ -85,6 +165,5 @@ def station_cluster_profile(
     max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Cluster the stations and profile the clusters' measurements."""
-    clustered = cluster_stations(stations, k, seed).select("sid", "lat", "lon", "cluster")
-    observations = measurements.join(bounded_broadcast(clustered, max_broadcast_bytes), "sid")
+    observations = station_observations(measurements, stations, k, seed, max_broadcast_bytes)
     return climate_profile(observations, min_tmax, min_tmin, min_prcp)

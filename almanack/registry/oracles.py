@@ -89,14 +89,15 @@ SELECT CAST(c_custkey AS VARCHAR) AS sid, round(tave, 8) AS tave,
 FROM means JOIN customer ON user_id = c_custkey
 """
 
-_CLIMATE_PROFILE = f"""
+def _climate_profile(num: str, lat: str, lon: str) -> str:
+    return f"""
 WITH rows_ AS (
-  SELECT c_nationkey AS num, c_acctbal AS lat, CAST(c_custkey AS DOUBLE) AS lon,
+  SELECT {num}, {lat} AS lat, CAST({lon} AS DOUBLE) AS lon,
          left(o_orderpriority, 1) AS p, o_totalprice AS v,
          sin(dayofyear(o_orderdate) * {_TURN}) AS s, cos(dayofyear(o_orderdate) * {_TURN}) AS c
   FROM orders JOIN customer ON o_custkey = c_custkey),
 stats AS (
-  SELECT num, avg(lat) AS lat, avg(lon) AS lon,
+  SELECT num, count(*) AS observations, avg(lat) AS lat, avg(lon) AS lon,
          stddev_samp(lat) AS latstd, stddev_samp(lon) AS lonstd,
          avg(v) FILTER (p = '1') AS tmax, avg(v) FILTER (p = '2') AS tmin,
          stddev_samp(v) FILTER (p = '1') AS tmaxstd, stddev_samp(v) FILTER (p = '2') AS tminstd,
@@ -110,7 +111,7 @@ stats AS (
   FROM rows_ GROUP BY num
   HAVING count(*) FILTER (p = '1') >= 20 AND count(*) FILTER (p = '2') >= 20
      AND count(*) FILTER (p = '3') >= 3)
-SELECT num, round(lat, 3) AS lat, round(lon, 3) AS lon, round(latstd, 3) AS latstd,
+SELECT num, observations, round(lat, 3) AS lat, round(lon, 3) AS lon, round(latstd, 3) AS latstd,
        round(lonstd, 3) AS lonstd, round(tmax, 3) AS tmax, round(tmin, 3) AS tmin,
        round(tmaxstd, 3) AS tmaxstd, round(tminstd, 3) AS tminstd, round(precip, 3) AS precip,
        round(sqrt(pow((hsv * hc - hcv * hsc) / (hs * hc - hsc * hsc), 2)
@@ -122,6 +123,13 @@ SELECT num, round(lat, 3) AS lat, round(lon, 3) AS lon, round(latstd, 3) AS lats
 FROM stats
 """
 
+
+_CLIMATE_PROFILE = _climate_profile("c_nationkey AS num", "c_acctbal", "c_custkey")
+_WHOLE_PROFILE = f"""
+SELECT observations, * EXCLUDE (num, observations)
+FROM ({_climate_profile("0 AS num", "c_acctbal / 100", "c_nationkey")})
+"""
+
 _MOMENTS = f"""
   SELECT *, sin(dayofyear(o_orderdate) * {_TURN}) AS s,
          cos(dayofyear(o_orderdate) * {_TURN}) AS c, o_totalprice AS v
@@ -222,7 +230,8 @@ ORACLES: dict[str, str] = {
                round(c_acctbal / 100, 8) AS lat, CAST(c_nationkey AS DOUBLE) AS lon, c_name AS name
         FROM means JOIN customer ON user_id = c_custkey
     """,
-    "cluster_climate_profile": _CLIMATE_PROFILE,
+    "cluster_climate_profile": f"SELECT * EXCLUDE (observations) FROM ({_CLIMATE_PROFILE})",
+    "station_cluster_profile": _WHOLE_PROFILE,
     "max_decade_by_area": _MAX_DECADE,
     "county_rates_located": _COUNTY_RATES,
     "daily_statistics_report": _DAILY_STATISTICS,
@@ -446,6 +455,15 @@ ORACLES: dict[str, str] = {
         SELECT count(*) AS stations, CAST(0 AS BIGINT) AS "without", CAST(0 AS BIGINT) AS misplaced
         FROM customer
     """,
+    "kmeans_assign_many": """
+        WITH points AS (SELECT c_custkey, c_acctbal AS x, c_custkey * 7 % 1000 AS y FROM customer),
+        centers AS (
+          SELECT c_custkey AS cluster, x + 1.5 AS x, y * CAST(0.5 AS DOUBLE) AS y FROM points
+          WHERE c_custkey % 2 = 0)
+        SELECT c_custkey, arg_min(cluster, {
+                 'd': (p.x - k.x) * (p.x - k.x) + (p.y - k.y) * (p.y - k.y), 'c': cluster}) AS cluster
+        FROM points p CROSS JOIN centers k GROUP BY c_custkey
+    """,
     "kmeans_assign": """
         WITH centers AS (
           SELECT c_nationkey, round(avg(c_acctbal), 4) AS c_acctbal FROM customer GROUP BY 1),

@@ -106,9 +106,13 @@ def cluster_climate_profile(spark, sf_dir):
 
 @_query
 def station_cluster_profile(spark, sf_dir):
-    return P.station_cluster_profile(
-        st.order_measurements(spark, sf_dir), st.stations(spark, sf_dir), k=20
+    """The clusters' moments put together again: the same whatever the clusters are."""
+    observations = P.station_observations(
+        st.order_measurements(spark, sf_dir), st.stations(spark, sf_dir)
     )
+    clusters = O.stored_dimension(P.cluster_moments(observations))
+    profile = P.profile_of_moments(P.merge_clusters(clusters))
+    return _rounded(profile, *(c for c in profile.columns if c != "observations"), digits=3)
 
 
 @_query
@@ -658,16 +662,41 @@ def assemble_features(spark, sf_dir):
 
 @_query
 def kmeans_fit(spark, sf_dir):
-    """What holds for any seed: stations without a cluster, or in one that is not the nearest."""
+    """What holds for any seed: stations without a cluster, or farther from it than from another."""
     stations = st.stations(spark, sf_dir)
-    model = O.fit_kmeans(stations, ["lat", "lon"], k=100, seed=1)
+    model = O.fit_kmeans(stations, ["lat", "lon"], k=2000, seed=1)
     rows = [(i, *map(float, c)) for i, c in enumerate(model.clusterCenters())]
     centers = spark.createDataFrame(rows, "nearest int, lat double, lon double")
-    assigned = model.transform(O.assemble(stations, ["lat", "lon"], "features"))
-    return O.nearest_center(assigned, centers, ["lat", "lon"], "nearest").agg(
+    assigned = model.transform(O.assemble(stations, ["lat", "lon"], "features")).drop("features")
+    found = O.nearest_center(assigned, centers, ["lat", "lon"], "nearest")
+    for own in ("cluster", "nearest"):
+        place = centers.select(
+            F.col("nearest").alias(own), F.struct("lat", "lon").alias(f"{own}_place")
+        )
+        found = found.join(O.bounded_broadcast(place), own, "left")
+
+    def distance(own):
+        return F.hypot(F.col("lat") - F.col(f"{own}.lat"), F.col("lon") - F.col(f"{own}.lon"))
+
+    farther = distance("cluster_place") > distance("nearest_place") + 1e-6
+    return found.agg(
         F.count("*").alias("stations"),
         F.count_if(F.col("cluster").isNull()).alias("without"),
-        F.count_if(F.col("cluster") != F.col("nearest")).alias("misplaced"),
+        F.count_if(farther).alias("misplaced"),
+    )
+
+
+@_query
+def kmeans_assign_many(spark, sf_dir):
+    """A center for every second customer: more than are compared one by one."""
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.col("c_acctbal").alias("x"), (F.col("c_custkey") * 7 % 1000).alias("y")
+    )
+    centers = customer.where("c_custkey % 2 = 0").select(
+        F.col("c_custkey").alias("cluster"), (F.col("x") + 1.5).alias("x"), (F.col("y") * 0.5).alias("y")
+    )
+    return O.nearest_center(customer, centers, ["x", "y"], scan_centers=100).select(
+        "c_custkey", "cluster"
     )
 
 

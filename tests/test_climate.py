@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from almanack import plans as P
 from almanack.schemas import CLUSTER_PROFILE
+from plans_text import plan
 
 SCHEMA = "cluster int, lat double, lon double, date date, measure string, value double"
 
@@ -112,3 +113,50 @@ def test_stations_to_profile(spark):
         found = P.station_cluster_profile(data, station_table, k=3, max_broadcast_bytes=limit)
         assert sorted(round(r.lat + r.lon, -1) for r in found.collect()) == [0.0, 40.0, 40.0]
         assert found.dtypes == [(f.name, f.dataType.simpleString()) for f in CLUSTER_PROFILE]
+
+
+def test_clusters_are_merged_from_their_moments(spark):
+    """Any clusters, put together, have the profile of all rows; some rows lack a value or a date."""
+    rows = []
+    for cluster in range(12):
+        rows += observations(cluster, {"TMAX": 9 + cluster, "TMIN": 7, "PRCP": cluster % 3, "SNOW": 2}, seed=cluster)
+    rows = [(*r[:5], None) if i % 17 == 0 else r for i, r in enumerate(rows)]
+    whole = [(0, *r[1:]) for r in rows]
+    parts = P.cluster_moments(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    (found,) = P.profile_of_moments(P.merge_clusters(parts)).collect()
+    assert found.observations == len(rows)
+    assert tuple(found)[1:] == pytest.approx(expected(whole)[1:], rel=1e-8)
+    by = parts.withColumn("half", F.col("num") % 2)
+    halves = P.profile_of_moments(P.merge_clusters(by, ["half"])).collect()
+    for half in halves:
+        own = [(0, *r[1:]) for r in rows if r[0] % 2 == half.half]
+        assert tuple(half)[2:] == pytest.approx(expected(own)[1:], rel=1e-8)
+    assert len(halves) == 2
+
+
+def test_profile_of_moments_is_the_profile(spark):
+    rows = observations(1, {"TMAX": 25, "TMIN": 20, "PRCP": 3}) + observations(2, {"TMAX": 25, "TMIN": 19, "PRCP": 3})
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = P.profile_of_moments(P.cluster_moments(df)).drop("observations").collect()
+    (want,) = P.climate_profile(df).collect()
+    assert [tuple(r) for r in found] == [pytest.approx(tuple(want), rel=1e-9)]
+
+
+def test_moments_of_nothing(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    (row,) = P.merge_clusters(P.cluster_moments(df)).collect()
+    assert (row.tmax.n, row.tmax.m0, row.tmax.c00) == (0.0, None, None)
+    assert P.profile_of_moments(P.merge_clusters(P.cluster_moments(df))).collect() == []
+    same = observations(1, {"TMAX": 30, "TMIN": 30, "PRCP": 3}, spread=0)
+    (flat,) = P.profile_of_moments(P.cluster_moments(spark.createDataFrame(same, SCHEMA))).collect()
+    assert flat.tmax_seasonal_var is None and flat.tmaxstd is not None
+
+
+def test_the_model_is_applied_once(spark):
+    """The clustered stations are written once and read by the join."""
+    stations = spark.createDataFrame([(f"S{i}", float(i), 1.0) for i in range(9)], "sid string, lat double, lon double")
+    data = spark.createDataFrame([("S1", dt.date(2017, 1, 1), "TMAX", 1.0)], "sid string, date date, measure string, value double")
+    joined = P.station_observations(data, stations, k=2)
+    text = plan(joined, "formatted")
+    assert "UDF" not in text and text.count("/dimension") == 1
+    assert joined.count() == 1

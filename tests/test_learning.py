@@ -104,6 +104,84 @@ def test_nearest_center_of_no_place_is_null(spark, block):
     assert O.nearest_center(points, centers.limit(0), ["x"]).first().cluster is None
 
 
+def nearest_by_force(points, centers):
+    """The nearest center of each place, in the order of number on a tie."""
+    numbers = np.array([c[0] for c in centers])
+    places = np.array([c[1:] for c in centers])
+    order = np.argsort(numbers, kind="stable")
+    numbers, places = numbers[order], places[order]
+    out = []
+    for p in points:
+        squares = [(p[k] - places[:, k]) * (p[k] - places[:, k]) for k in range(len(p))]
+        out.append(int(numbers[np.argmin(sum(squares[1:], squares[0]))]))
+    return out
+
+
+SHAPES = {
+    "uniform": lambda r: (r.random() * 10, r.random() * 3),
+    "lattice, with ties": lambda r: (float(r.randint(0, 12)), float(r.randint(0, 12))),
+    "clumps and a hole": lambda r: (r.choice([0.0, 100.0]) + r.random() ** 3, r.choice([0.0, 7.0]) + r.random()),
+    "on a line": lambda r: (r.random() * 50, 4.0),
+    "on a slope": lambda r: (x := r.random() * 50, 2 * x),
+    "one place": lambda r: (1.0, 2.0),
+    "far outlier": lambda r: (r.random(), 1e6 if r.random() < 0.01 else r.random()),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_nearest_center_by_cells_like_brute_force(spark, shape, limit):
+    rnd = random.Random(11)
+    centers = [(1000 - i, *SHAPES[shape](rnd)) for i in range(300)]
+    points = [SHAPES[shape](rnd) for _ in range(250)]
+    points += [(x + rnd.gauss(0, 1), y + rnd.gauss(0, 1)) for x, y in points[:100]]
+    points += [(c[1], c[2]) for c in centers[:50]] + [(-1e9, 3.0), (1e12, 1e12), (0.0, 0.0), (6.0, -300.0)]
+    odd = [(None, 1.0), (float("nan"), 1.0), (1.0, float("inf"))]
+    nowhere = [(-5, None, 1.0), (-6, 1.0, float("nan")), (-7, float("-inf"), 0.0)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate([*points, *odd])], "n int, x double, y double")
+    table = spark.createDataFrame([*centers, *nowhere], "cluster int, x double, y double")
+    found = O.nearest_center(df, table, ["x", "y"], scan_centers=10, max_broadcast_bytes=limit)
+    assert found.columns == ["n", "x", "y", "cluster"]
+    got = {r.n: r.cluster for r in found.collect()}
+    wanted = nearest_by_force(points, centers)
+    assert [got[i] for i in range(len(points))] == wanted
+    assert [got[len(points) + i] for i in range(len(odd))] == [None] * len(odd)
+    assert len(got) == len(points) + len(odd)
+
+
+def test_nearest_of_fifty_thousand_centers(spark):
+    """A plan of the size of that for few thousand, and the nearest of each point."""
+    rng = np.random.default_rng(5)
+    places = rng.normal(0, 20, (50_000, 2))
+    points = rng.normal(0, 20, (3_000, 2))
+    points[::3] = places[7] + 0.01  # a third of the points are in one cell
+    schema = "cluster int, x double, y double"
+    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(places)]
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(points)], "n int, x double, y double")
+    found, fewer = (
+        O.nearest_center(df, spark.createDataFrame(own, schema), ["x", "y"], max_broadcast_bytes=0)
+        for own in (rows, rows[:3_000])
+    )
+    assert plan(found).count("\n") == plan(fewer).count("\n")
+    assert "Product" not in plan(found) and "NestedLoop" not in plan(found)
+    got = {r.n: r.cluster for r in found.collect()}
+    wanted = nearest_by_force([tuple(p) for p in points], [(i, *p) for i, p in enumerate(places.tolist())])
+    assert [got[i] for i in range(len(points))] == wanted
+
+
+def test_nearest_center_on_a_line_by_cells(spark):
+    rnd = random.Random(3)
+    centers = [(i, rnd.random() * 100) for i in range(700)]
+    points = [(rnd.random() * 120 - 10,) for _ in range(200)]
+    found = O.nearest_center(
+        spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "n int, x double"),
+        spark.createDataFrame(centers, "cluster int, x double"),
+        ["x"],
+    )
+    got = {r.n: r.cluster for r in found.collect()}
+    assert [got[i] for i in range(len(points))] == nearest_by_force(points, centers)
+
+
 def wave(days, shape):
     start = dt.date(2017, 1, 1)
     return [(1, start + dt.timedelta(d), shape(d)) for d in days]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanack.functions import season_week_key, underscored
-from almanack.operators.joins import BROADCAST_BYTES, bounded_broadcast
+from almanack.operators.joins import BROADCAST_BYTES, stored_dimension
 
 
 def weekly_sales(
@@ -29,7 +29,7 @@ def weekly_sales(
         F.when(year.isNotNull(), week).alias("season_week"),
     )
     # A sale must not be shuffled by its day: the days are few and all fat.
-    s, c = sales.alias("s"), bounded_broadcast(weeks, max_broadcast_bytes).alias("c")
+    s, c = sales.alias("s"), stored_dimension(weeks, max_broadcast_bytes).alias("c")
     summed = (
         s.join(c, F.col("s.date_id") == F.col("c.date_id"))
         .groupBy("short_year", "season_week", "store_id", "product_id")
@@ -55,8 +55,8 @@ def weekly_consumption(
     max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``id, sales_units, net_sales``. Summing comes before the dimension joins."""
-    stores = bounded_broadcast(store.select("store_id", "country"), max_broadcast_bytes)
-    products = bounded_broadcast(
+    stores = stored_dimension(store.select("store_id", "country"), max_broadcast_bytes)
+    products = stored_dimension(
         product.select("product_id", "division", "gender", "category"), max_broadcast_bytes
     )
     weekly = weekly_sales(sales, calendar, max_broadcast_bytes)
@@ -94,11 +94,11 @@ def weekly_consumption_sql(
         JOIN {products} USING (product_id)
         """,
         sales=sales,
-        days=bounded_broadcast(
+        days=stored_dimension(
             calendar.select("date_id", "date_year", "week_number"), max_broadcast_bytes
         ),
-        stores=bounded_broadcast(store.select("store_id", "country"), max_broadcast_bytes),
-        products=bounded_broadcast(
+        stores=stored_dimension(store.select("store_id", "country"), max_broadcast_bytes),
+        products=stored_dimension(
             product.select("product_id", "division", "gender", "category"), max_broadcast_bytes
         ),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanack.functions import underscored
-from almanack.operators.joins import BROADCAST_BYTES, bounded_broadcast
+from almanack.operators.joins import BROADCAST_BYTES, stored_dimension
 
 WEEKS = 52
 OTHER = "W_other"
@@ -38,12 +38,12 @@ def _wide(
     stores = store.select("store_id", F.upper("channel").alias("channel"))
     products = product.select("product_id", "division", "gender", "category")
     sums = (
-        sales.join(bounded_broadcast(dates, max_broadcast_bytes), "date_id")
+        sales.join(stored_dimension(dates, max_broadcast_bytes), "date_id")
         .groupBy("year", "week", "store_id", "product_id")
         .agg(F.sum("net_sales").alias("net"), F.sum("sales_units").cast("double").alias("units"))
     )
-    keyed = sums.join(bounded_broadcast(stores, max_broadcast_bytes), "store_id").join(
-        bounded_broadcast(products, max_broadcast_bytes), "product_id"
+    keyed = sums.join(stored_dimension(stores, max_broadcast_bytes), "store_id").join(
+        stored_dimension(products, max_broadcast_bytes), "product_id"
     )
     # A sparse pivot: sums by key and slot first, of which a key has a row for each week with
     # sales, then these few are set in place. Slot 0 is for weeks without a column.

@@ -458,7 +458,7 @@ ORACLES: dict[str, str] = {
     "kmeans_assign_many": """
         WITH points AS (SELECT c_custkey, c_acctbal AS x, c_custkey * 7 % 1000 AS y FROM customer),
         centers AS (
-          SELECT c_custkey AS cluster, x + 1.5 AS x, y * CAST(0.5 AS DOUBLE) AS y FROM points
+          SELECT c_custkey AS cluster, x + 1.5 AS x, y + CAST(0.5 AS DOUBLE) AS y FROM points
           WHERE c_custkey % 2 = 0)
         SELECT c_custkey, arg_min(cluster, {
                  'd': (p.x - k.x) * (p.x - k.x) + (p.y - k.y) * (p.y - k.y), 'c': cluster}) AS cluster

@@ -693,7 +693,7 @@ def kmeans_assign_many(spark, sf_dir):
         "c_custkey", F.col("c_acctbal").alias("x"), (F.col("c_custkey") * 7 % 1000).alias("y")
     )
     centers = customer.where("c_custkey % 2 = 0").select(
-        F.col("c_custkey").alias("cluster"), (F.col("x") + 1.5).alias("x"), (F.col("y") * 0.5).alias("y")
+        F.col("c_custkey").alias("cluster"), (F.col("x") + 1.5).alias("x"), (F.col("y") + 0.5).alias("y")
     )
     return O.nearest_center(customer, centers, ["x", "y"], scan_centers=100).select(
         "c_custkey", "cluster"

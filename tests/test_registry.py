@@ -1,5 +1,7 @@
 """Every registered query against its SQL, and what its plan must not hold."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as contract
@@ -89,9 +91,18 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_weekly_consumption_shuffles_the_sales_once(spark):
     text = plan(QUERIES["weekly_consumption"](spark, f"{DATA}/sf0.001"))
-    # The other one gathers the few product types.
     assert text.count("Exchange hashpartitioning(short_year") == 1
-    assert text.count("Exchange hashpartitioning") == 2
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize(
+    "name", ["weekly_consumption", "weekly_consumption_sql", "weekly_report_pivot"]
+)
+def test_each_dimension_is_computed_once(spark, name):
+    """What stands for calendar, stores and products is written once; the plan reads that."""
+    text = plan(QUERIES[name](spark, f"{DATA}/sf0.001"), "formatted")
+    assert len(set(re.findall(r"almanack-[0-9a-f]+/dimension", text))) == 3
+    assert text.count("/dimension") == 3
 
 
 @pytest.mark.parametrize(

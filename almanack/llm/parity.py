@@ -20,9 +20,9 @@ and B have a Jaccard similarity of at least 3/4 only if that is at most (|A| + |
    A document with at most s keys in large ones of that kind has a small one in common with
    each partner. The others, which are mostly made of what many share, are keyed once more,
    by the blocks that are rare among them; all pairs of different components in the new
-   buckets are tried. In large ones of these, blocks of members meet in a task, their sketches
-   are compared in numpy, and only pairs that are near enough become rows. So no link is
-   lost but between documents already in one component.
+   buckets are tried. In large ones of these, sets meet in a task, sketches are compared
+   in numpy, what is near enough is verified there, and only links that join components
+   become rows. So no link is lost but between documents already in one component.
 
 Texts of chosen documents are found by a broadcast of their ids if these are at most
 ``BROADCAST_IDS``, as counted, and by a shuffle otherwise.
@@ -54,8 +54,10 @@ SPARE_KEYS = 16
 BROADCAST_IDS = 500_000
 #: Buckets up to this size have all their open pairs made into rows; larger ones go another way.
 SMALL_BUCKET = 8
-#: Members of larger ones are compared by sketches, so many with so many at a time.
-BLOCK_MEMBERS = 1024
+#: Members of larger ones are compared in their tasks: so many sets, of so many bytes, with as many others.
+SLOT_MEMBERS, SLOT_BYTES = 1024, 4 << 20
+#: Sets verified at a time.
+VERIFIED = 64
 #: So many keys, the most frequent ones, are ranked in the second way: 16 bytes each.
 RANKED_KEYS = 500_000
 #: Sets of pairs are large rows; batches are bounded by bytes for the jobs of the join.
@@ -126,28 +128,6 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= 75 * (len(a) + len(b) - shared)
 
 
-def near_pairs(component, sizes, sketches, left, right) -> tuple[np.ndarray, np.ndarray]:
-    """Places (x, y) of members of different components whose sketches allow a link.
-
-    ``left`` and ``right`` mark the members to compare; where they agree, x < y.
-    """
-    short = min(map(len, sketches))
-    folded = []
-    for sketch in sketches:
-        words = np.frombuffer(sketch, np.uint64).reshape(-1, short // 8)
-        folded.append(np.bitwise_xor.reduce(words, axis=0))
-    bits, others, found = np.array(folded), np.flatnonzero(right), []
-    for x in np.flatnonzero(left):
-        y = others[others > x] if right[x] else others
-        n, m = sizes[x], sizes[y]
-        y = y[(component[y] != component[x]) & (4 * np.minimum(n, m) >= 3 * np.maximum(n, m))]
-        apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
-        y = y[7 * apart <= n + sizes[y]]
-        found.append(np.stack((np.full(len(y), x), y)))
-    x, y = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
-    return x, y
-
-
 def block_keys(hashes, first, text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All blocks that are not empty: keys, texts, keys needed, and a number for text and band.
 
@@ -262,12 +242,88 @@ def _keyed(texts: DataFrame, ranked=None) -> DataFrame:
     return texts.mapInArrow(work, "key long, node long, hub long, alone boolean")
 
 
-def _all_keys(texts: DataFrame) -> DataFrame:
-    def row(ids, hashes, first, text):
-        keys = block_keys(hashes, first, text)[0]
-        return [pa.array(keys.view(np.int64))]
+def _frequent_keys(texts: DataFrame) -> DataFrame:
+    """(key, count) of keys that occur more than once in a lot of one task.
+
+    Only an order of the keys is made of them, and any order is right, so that keys which
+    are alone need not leave their task.
+    """
 
-    return _over_texts(texts, "key long", row)
+    def counted(keys: list[np.ndarray]) -> pa.RecordBatch:
+        found, count = np.unique(np.concatenate(keys), return_counts=True)
+        several = count > 1
+        columns = [pa.array(found[several].view(np.int64)), pa.array(count[several])]
+        return pa.RecordBatch.from_arrays(columns, ["key", "count"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, n = [], 0
+        for batch in batches:
+            for low, high in runs(batch.column(1)):
+                keys.append(block_keys(*sets_of(batch.column(1).slice(low, high - low)))[0])
+                n += len(keys[-1])
+                if n >= LOT_KEYS:
+                    yield counted(keys)
+                    keys, n = [], 0
+        if n:
+            yield counted(keys)
+
+    return texts.mapInArrow(work, "key long, count long")
+
+
+def shared_sizes(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements one sorted set has in common with each of the others."""
+    sizes = np.array([len(o) for o in others])
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    sums = np.concatenate(([0], np.cumsum(one[at] == flat)))
+    ends = np.cumsum(sizes)
+    return sums[ends] - sums[ends - sizes]
+
+
+def links_between(component, sets, left, right) -> list[tuple[int, int]]:
+    """Links that join the components of a group, as places: fewer of them than components.
+
+    Members of different components are compared by sketches, size band by size band of the
+    smaller one; those that may link are verified by their sets at once, and members of
+    one component, once it is one, no more.
+    """
+    component = np.unique(component, return_inverse=True)[1]
+    sizes = np.array([len(x) for x in sets])
+    found = []
+    own = bands(sizes)
+    for band in np.unique(own):
+        # Partners are at most a third larger, that is in this band or the next one.
+        pick = np.flatnonzero((own == band) | (own == band + 1))
+        bits = _sketches([sets[i] for i in pick], int(band))
+        for x in np.flatnonzero(own[pick] == band):
+            i = pick[x]
+            roles = (left[i] & right[pick]) | (right[i] & left[pick])
+            n, m = sizes[i], sizes[pick]
+            may = roles & (component[pick] != component[i]) & (4 * np.minimum(n, m) >= 3 * np.maximum(n, m))
+            # Within the band each pair once.
+            may &= (own[pick] > band) | (pick > i)
+            y = np.flatnonzero(may)
+            apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            rest = pick[y[7 * apart <= n + m[y]]]
+            while len(rest):
+                some, rest = rest[:VERIFIED], rest[VERIFIED:]
+                shared = shared_sizes(sets[i], [sets[j] for j in some])
+                for j in some[100 * shared >= 75 * (n + sizes[some] - shared)].tolist():
+                    if component[j] != component[i]:
+                        found.append((int(i), j))
+                        component[component == component[j]] = component[i]
+                rest = rest[component[rest] != component[i]]
+    return found
+
+
+def _sketches(sets: list[np.ndarray], band: int) -> np.ndarray:
+    """Parity sketches of the width of a band, a row of 64-bit words for each set."""
+    bits = 2 * _sketch_bits(band)
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    place = row * bits + (flat & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=len(sets) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64).reshape(len(sets), -1)
 
 
 class _Join:
@@ -390,44 +446,60 @@ class _Join:
         pairs = x.join(y, "key").where("x < y AND cx <> cy")
         return pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
-    def open_pairs_by_blocks(self, members: DataFrame) -> DataFrame:
-        """As ``open_pairs``, but only those that sketches allow, found within tasks.
+    def open_links(self, members: DataFrame) -> DataFrame:
+        """Links (a, b) that join the components of buckets, found within tasks.
 
-        A bucket of n members is dealt into k = n / BLOCK_MEMBERS slots, and each pair of slots
-        is a group of its own: at most k rows for each member, and no group grows with n.
+        Buckets with the same least member are one family, so that a document with many
+        keys in common with others is there once. A family's sets are dealt
+        into k slots of a bounded size, and each pair of slots is a group of its own: at most
+        k rows for each member, and no group grows with the family. A group gives
+        links only, fewer than it has components.
         """
-        own = self.signed.select(F.col("doc_id").alias("node"), "n_shingles", "sketch")
-        k = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
-        slot = F.pmod(F.xxhash64("node"), k).cast("int")
-        dealt = members.join(own.dropDuplicates(["node"]), "node").select(
-            "*", slot.alias("slot"), F.explode(F.sequence(F.lit(0), k - 1)).alias("other")
+        least = members.groupBy("key").agg(F.min("node").alias("family"))
+        placed = members.join(least, "key").select("family", "node", "component").distinct()
+        placed = self.stored(placed, "families")
+        sets = _over_texts(self.texts(placed.select("node").distinct()), "node long, set binary", _set_bytes)
+        sets = self.stored(sets.dropDuplicates(["node"]), "family-sets")
+        sized = placed.join(sets.select("node", F.octet_length("set").alias("bytes")), "node")
+        several = sized.groupBy("family").agg(
+            F.greatest(F.sum("bytes") / SLOT_BYTES, F.count(F.lit(1)) / SLOT_MEMBERS).alias("size"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
         )
-        group = ("key", "i", "j")
-        dealt = dealt.select(
-            "key", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"),
-            "slot", "node", "component", "n_shingles", "sketch",
+        slots = F.ceil("size").cast("int").alias("k")
+        several = several.where("low <> high").select("family", slots)
+        slot = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
+        dealt = placed.join(several, "family").select(
+            "*", slot.alias("slot"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
+        )
+        group = ("family", "i", "j")
+        dealt = dealt.join(sets, "node").select(
+            "family", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"),
+            "slot", "node", "component", "set",
         ).repartition(*group).sortWithinPartitions(*group, "node")
 
         def compare(rows: pa.Table) -> pa.RecordBatch:
-            i, j, slot, node, component, sizes = (
-                rows.column(c).to_numpy() for c in ("i", "j", "slot", "node", "component", "n_shingles")
-            )
-            x, y = near_pairs(component, sizes, rows.column("sketch").to_pylist(), slot == i, slot == j)
-            a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            i, j, slot, node, component = (rows.column(c).to_numpy() for c in ("i", "j", "slot", "node", "component"))
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for chunk in rows.column("set").chunks for x in chunk]
+            found = links_between(component, sets, slot == i, slot == j) if len(sets) > 1 else []
+            places = np.array(found, np.int64).reshape(-1, 2)
+            ends = np.sort(node[places], axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rest = None
+            held, name = [], None
             for batch in batches:
-                table = pa.Table.from_batches([batch])
-                table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
-                names = np.stack([table.column(c).to_numpy() for c in group])
+                names = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy() for c in group])
                 cuts = np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1
-                for low, high in zip([0, *cuts[:-1]], cuts, strict=False):
-                    yield compare(table.slice(low, high - low))
-                rest = table.slice(cuts[-1]) if len(cuts) else table
-            if rest is not None and len(rest):
-                yield compare(rest)
+                for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+                    own = tuple(names[:, low])
+                    if held and own != name:
+                        yield compare(pa.Table.from_batches(held))
+                        held = []
+                    held.append(batch.slice(low, high - low))
+                    name = own
+            if held:
+                yield compare(pa.Table.from_batches(held))
 
         return dealt.mapInArrow(work, "a long, b long").distinct()
 
@@ -456,7 +528,7 @@ class _Join:
             self.by_rare_keys(large)
 
     def by_rare_keys(self, nodes: DataFrame) -> None:
-        counts = _all_keys(self.texts(nodes)).groupBy("key").count()
+        counts = _frequent_keys(self.texts(nodes)).groupBy("key").agg(F.sum("count").alias("count"))
         top = counts.where(F.col("count") > SMALL_BUCKET).orderBy(F.desc("count"), "key").limit(RANKED_KEYS)
         rows = np.array([tuple(r) for r in top.collect()], np.int64).reshape(-1, 2)
         keys = rows[:, 0].copy().view(np.uint64)
@@ -466,9 +538,10 @@ class _Join:
         self.try_pairs(pairs, "rare")
         left = self.open_members(members)
         self.tried = self.stored(self.tried.union(pairs).distinct(), "tried")
+        many = self.open_links(left.where(F.col("n") > SMALL_BUCKET))
         few = self.open_pairs(left.where(F.col("n") <= SMALL_BUCKET))
-        many = self.open_pairs_by_blocks(left.where(F.col("n") > SMALL_BUCKET))
-        self.try_pairs(self.stored(few.union(many).distinct(), "rest-pairs"), "rest")
+        self.links = self.links.union(self.stored(many, "many-links"))
+        self.try_pairs(self.stored(few, "rest-pairs"), "rest")
 
     def result(self) -> DataFrame:
         several = self.same.where("rows > 1").drop("rows").withColumnRenamed("node", "twin")

@@ -49,7 +49,7 @@ def near_copies(seed=2):
 def test_join_equals_all_pairs(spark, monkeypatch, small, block, spare):
     """Also with few small buckets and keys to spare, so that the second way is taken."""
     monkeypatch.setattr(parity, "SMALL_BUCKET", small)
-    monkeypatch.setattr(parity, "BLOCK_MEMBERS", block)
+    monkeypatch.setattr(parity, "SLOT_MEMBERS", block)
     monkeypatch.setattr(parity, "SPARE_KEYS", spare)
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
@@ -271,3 +271,67 @@ def test_pipeline_keeps_the_packed_ids(spark):
     assert {r.doc_id for r in got} == {r.doc_id for r in docs.select("doc_id").collect()}
     for r in got:
         assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+
+
+def test_links_of_a_group_join_its_components():
+    """As many links as join what all links join, and no more; only between the two sides."""
+    random.seed(4)
+    vocabulary = [random.getrandbits(64) for _ in range(4000)]
+    for trial in range(25):
+        sets, component = [], []
+        for _ in range(random.randint(1, 6)):
+            base = random.sample(vocabulary, random.choice([1, 3, 12, 60, 70, 250, 300]))
+            for _ in range(random.randint(1, 14)):
+                kept = [x for x in base if random.random() < 0.93] or base
+                extra = random.sample(vocabulary, random.randint(0, 1 + len(base) // 12))
+                sets.append(np.unique(np.array(kept + extra, np.uint64)))
+                component.append(random.choice([len(component), max(0, len(component) - 1)]))
+        n, side = len(sets), np.array([random.random() < 0.5 for _ in sets])
+        left, right = (np.ones(n, bool), np.ones(n, bool)) if trial % 2 else (side, ~side)
+        parent = list(range(n))
+
+        def root(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        def groups(links, parent=parent, component=component, n=n, root=root):
+            parent[:] = range(n)
+            for a, b in links:
+                parent[root(a)] = root(b)
+            return {frozenset(i for i in range(n) if root(i) == r) for r in map(root, range(n))}
+
+        same = [(i, component.index(c)) for i, c in enumerate(component)]
+        every = [
+            (a, b) for a in range(n) for b in range(a)
+            if ((left[a] and right[b]) or (left[b] and right[a])) and parity.linked(sets[a], sets[b])
+        ]
+        found = parity.links_between(np.array(component), sets, left, right)
+        assert all(tuple(sorted(x, reverse=True)) in every for x in found)
+        assert len(found) < len(set(component)) or not found
+        assert groups([*same, *found]) == groups([*same, *every])
+
+
+def test_a_large_group_of_near_but_unlinked_copies(spark, monkeypatch):
+    """Rows that leave the tasks grow no faster than the group, here of a template with own words."""
+    emitted = {}
+    for n in (300, 1200):
+        template = [f"t{i}" for i in range(60)]
+        rng = random.Random(n)
+        rows = [(i, " ".join(template + [f"u{rng.getrandbits(40)}" for _ in range(26)])) for i in range(n)]
+        rows += [(n + i, rows[i][1] + " end") for i in range(0, n, 10)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+        join, sizes = parity._Join(docs), []
+        keep = join.stored
+
+        def counted(df, name, keep=keep, sizes=sizes):
+            found = keep(df, name)
+            sizes.append((name, found.count()))
+            return found
+
+        join.stored = counted
+        got = {r.doc_id: r.component_id for r in join.run().collect()}
+        assert got == {d: i for i, (d, _) in enumerate(rows[:n])} | {n + i: i for i in range(0, n, 10)}
+        emitted[n] = {name: size for name, size in sizes if name in ("many-links", "first-near", "rest-pairs")}
+    for name, size in emitted[1200].items():
+        assert size <= 5 * max(emitted[300].get(name, 0), 100), emitted

@@ -11,13 +11,15 @@ Only the labelled sample is bounded: at most ``MAX_LABELLED`` rows, those with t
 doc_id, which the driver holds. The unlabelled rows are all there are. Their features are computed
 and stored once; a round makes two passes over them, which count the rows by confidence
 (this gives the threshold) and sum the products of the features of the rows beyond it. Sums are
-added by partition, then by groups of partitions, then on the driver; their size
-does not depend on the number of rows.
+added by partition, then by groups of partitions, and of groups, until one is left for the driver;
+their size does not depend on the number of rows.
 
 Null texts are empty, null sources and languages are a value of their own, a null n_chars is the text's
 length; these columns may be missing. Null doc_ids are scored, not trained on. Of repeated labels
 of one doc_id the largest counts. Rows with a label never get another one, whether they are in the
-sample or not. Without labels of both classes every score is 0.5 and every document is kept.
+sample or not. Without labels of both classes every score is 0.5 and every document is kept. A class of a
+single label is both trained and calibrated on. Empty tables give no rows. Of the documents doc_id, text, source, lang and n_chars
+are read, and of the labels doc_id and the label: other columns may have any name.
 """
 
 from __future__ import annotations
@@ -43,10 +45,10 @@ SURE = 0.95
 LEAST_SCORE = 0.5
 BUCKETS = 512
 CONTENT, METADATA = BUCKETS + 8, 64 + 16 + 12  # features of the views
-#: Sums of partitions are added in so many groups before they reach the driver.
-GROUPS = 8
+#: Sums of so many partitions are added in one group, and of so many groups, until one is left.
+GROUP = 32
 _BINS, _STEP, _END = 3_841, 64, 30  # of log-odds from -30 to 30
-_HELD_OUT = 5  # every fifth labelled row calibrates
+_HELD_OUT = 5  # every fifth labelled row of a class calibrates
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -164,14 +166,26 @@ def _bounds(counts: np.ndarray, share: float, rows: float) -> tuple[int, int]:
     return int(min(low, middle - sure)), int(max(high, middle + sure))
 
 
+def held_out(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows to train on, and rows to calibrate on: every fifth of each class.
+
+    A class of one row cannot do both apart: then all rows do both.
+    """
+    held = np.zeros(len(y), bool)
+    for label in (0, 1):
+        own = np.flatnonzero(y == label)
+        if len(own) < 2:
+            return np.ones(len(y), bool), np.ones(len(y), bool)
+        held[own[::_HELD_OUT]] = True
+    return ~held, held
+
+
 class CoTrained:
     """The two views and their combination, fitted on labelled and unlabelled rows."""
 
     def __init__(self, views: list[np.ndarray], y: np.ndarray, pool: DataFrame, rounds: int = ROUNDS):
-        held = np.arange(len(y)) % _HELD_OUT == 0
-        if len({*y[~held]}) < 2 or len({*y[held]}) < 2:
-            raise ValueError("labels of both classes are needed")
-        sums = [np.stack([_products(v[~held & (y == label)]) for label in (0, 1)]) for v in views]
+        trained, held = held_out(y)
+        sums = [np.stack([_products(v[trained & (y == label)]) for label in (0, 1)]) for v in views]
         share = (y > 0).mean()
         turns, self.handed_over, rows = [], 0, None
         for turn in range(rounds + 1):
@@ -266,8 +280,8 @@ def _total(pool: DataFrame, size: int, add: Callable[[list[np.ndarray], np.ndarr
             add(_views(batch), out)
         if seen:
             part = TaskContext.get().partitionId()
-            columns = [pa.array([part % GROUPS]), pa.array([part]), pa.array([zlib.compress(out, 1)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["g", "part", "sums"])
+            columns = [pa.array([part]), pa.array([zlib.compress(out, 1)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "sums"])
 
     def together(table: pa.Table) -> pa.Table:
         table = table.sort_by("part")
@@ -275,12 +289,15 @@ def _total(pool: DataFrame, size: int, add: Callable[[list[np.ndarray], np.ndarr
         for sums in table.column("sums"):
             out += np.frombuffer(zlib.decompress(sums.as_buffer()), float)
         packed = pa.array([zlib.compress(out, 1)], pa.binary())
-        return pa.table({"g": table.column("g")[:1], "sums": packed})
+        return pa.table({"part": table.column("g")[:1], "sums": packed})
 
-    sums = pool.mapInArrow(each, "g long, part long, sums binary")
-    rows = sums.groupBy("g").applyInArrow(together, "g long, sums binary").collect()
+    sums = pool.mapInArrow(each, "part long, sums binary")
+    left = max(2, pool.rdd.getNumPartitions())
+    while left > 1:
+        grouped = sums.select(F.floor(F.col("part") / GROUP).alias("g"), "part", "sums").groupBy("g")
+        sums, left = grouped.applyInArrow(together, "part long, sums binary"), -(-left // GROUP)
     out = np.zeros(size)
-    for r in sorted(rows, key=lambda r: r.g):
+    for r in sums.collect():
         out += np.frombuffer(zlib.decompress(r["sums"]), float)
     return out
 

@@ -335,3 +335,63 @@ def test_a_large_group_of_near_but_unlinked_copies(spark, monkeypatch):
         emitted[n] = {name: size for name, size in sizes if name in ("many-links", "first-near", "rest-pairs")}
     for name, size in emitted[1200].items():
         assert size <= 5 * max(emitted[300].get(name, 0), 100), emitted
+
+
+@pytest.mark.parametrize("labels", [[1, 0, 0, 0], [1, 0, 0, 0, 0, 1, 0, 0, 0, 0], [0, 1], [0, 1, 1, 0, 0, 0]])
+def test_cotraining_of_few_labels(spark, labels):
+    rows = [(i, f"the cat {i} sat" if y else "### *** |||" * 5) for i, y in enumerate(labels)] + [(90, "a dog sat"), (91, "***")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(list(enumerate(labels)), "doc_id long, quality int")
+    got = cotraining.classify_quality(docs, known).collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+@pytest.mark.parametrize("group", [2, 32])
+def test_one_round_equals_a_plain_form(spark, monkeypatch, group):
+    """Bounds, what is handed over and the sums that follow, written plainly with all rows at hand."""
+    monkeypatch.setattr(cotraining, "GROUP", group)
+    monkeypatch.setattr(cotraining, "SURE", 0.6)
+    rng = random.Random(8)
+    good, bad = "the cat sat on a mat and looked out".split(), "### *** ||| $$$ %%".split()
+    rows = []
+    for i in range(400):
+        kind = i % 2 if rng.random() < 0.9 else 1 - i % 2
+        words = rng.choices(good if kind else bad, k=rng.randint(3, 30)) + rng.choices(good + bad, k=rng.randint(0, 9))
+        rows.append((i, " ".join(words), f"s{i % 5 + 5 * kind}", "en", None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long").repartition(7)
+    inputs = cotraining._inputs(docs)
+    batch = pa.RecordBatch.from_pylist([r.asDict() for r in inputs.orderBy("doc_id").collect()], inputs.toArrow().schema)
+    both = [cotraining.content_features(batch.column(1)), cotraining.metadata_features(batch)]
+    y = np.array([i % 2 for i in range(80)])
+    views, free = [v[:80] for v in both], [v[80:].astype(float) for v in both]
+    pool = cotraining._features(inputs.where("doc_id >= 80"), "doc_id").drop("doc_id")
+    model = cotraining.CoTrained(views, y, pool, rounds=1)
+
+    held = np.isin(np.arange(80), [*range(0, 80, 10), *range(1, 80, 10)])
+
+    def fitted(x, label):
+        """Ridge regression on +1 and -1 in which classes weigh alike; the bias is all but free."""
+        x = np.column_stack([x, np.ones(len(x))])
+        weight = np.where(label > 0, 0.5 / (label > 0).sum(), 0.5 / (label == 0).sum())
+        ridge = np.diag([1e-3] * (x.shape[1] - 1) + [1e-9])
+        return np.linalg.solve((x * weight[:, None]).T @ x + ridge, (x * weight[:, None]).T @ np.where(label > 0, 1.0, -1.0))
+
+    first = [fitted(v[~held].astype(float), y[~held]) for v in views]
+    given = []
+    for v, f, w in zip(views, free, first, strict=True):
+        scale = cotraining._calibrated(v[held] @ w[:-1] + w[-1], y[held])
+        odds = np.clip((f @ w[:-1] + w[-1]) * scale[0] + scale[1], -30, 30)
+        cells = np.rint((odds + 30) * 64)
+        sure, take = np.log(0.6 / 0.4), len(f) / 15
+        down, up = np.sort(cells), np.sort(cells)[::-1]
+        # The bin of the row that completes the share; halves, as half of the labels are good.
+        low = min(down[int(np.ceil(take * 0.5)) - 1], 30 * 64 - np.ceil(sure * 64))
+        high = max(up[int(np.ceil(take * 0.5)) - 1], 30 * 64 + np.ceil(sure * 64))
+        given.append((cells <= low, cells >= high))
+    assert model.handed_over == sum(int(a.sum() + b.sum()) for a, b in given) > 0
+    for k in (0, 1):
+        down, up = given[1 - k]
+        x = np.concatenate([views[k][~held], free[k][down], free[k][up]])
+        label = np.concatenate([y[~held], np.zeros(down.sum()), np.ones(up.sum())])
+        assert np.allclose(model.weights[k], fitted(x, label), rtol=1e-4, atol=1e-5)

@@ -36,16 +36,16 @@ LEAST_VALUE = 6
 WINDOW = 20
 #: Least entropy in bits of the richest window, by character class. A window of 20 has at most
 #: log2(20) = 4.32 bits; words of one letter case stay below 3.5.
-#: Candidates without a digit must have letters of both cases and more entropy: paths and names of
+#: Candidates without a digit must be letters alone, of both cases, and have more entropy: names of
 #: several words stay below that.
-ENTROPY_LIMITS = {"hex": 3.0, "one_case": 3.6, "mixed": 3.8, "letters": 4.0}
+ENTROPY_LIMITS = {"hex": 3.0, "one_case": 3.6, "mixed": 3.8, "letters": 4.1}
 #: Matches whose places are summed in one go.
 BLOCK = 128
 #: Allow-list: identifiers and well-known examples, by pattern over the whole candidate.
 ALLOWED = (
     r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"  # UUIDs
     r"|^[0-9_=+/-]+$"  # no letter
-    r"|(?-i:^[a-z_=+/-]+$|^[A-Z_=+/-]+$)"  # neither digits nor two cases
+    r"|(?-i:^[a-z]+$|^[A-Z]+$)|^[^0-9]*[_=+/-][^0-9]*$"  # neither digits nor two cases; paths
     r"|(?i)example|placeholder|changeme|your[-_]?(api|key|token|secret)"
     r"|(?i)0123456789|abcdefgh"
     r"|^sha(1|256|384|512)-"  # digests that pages name for their resources

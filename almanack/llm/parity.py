@@ -52,6 +52,8 @@ FIRST_BAND = 64
 SPARE_KEYS = 16
 #: A list of ids up to this length (8 bytes each) is broadcast.
 BROADCAST_IDS = 500_000
+#: Equal sets of more rows than this meet their node by a broadcast of such groups.
+HOT_GROUP = 1_000
 #: Buckets up to this size have all their open pairs made into rows; larger ones go another way.
 SMALL_BUCKET = 8
 #: Members of larger ones are compared in their tasks: so many sets, of so many bytes, with as many others.
@@ -340,6 +342,8 @@ class _Join:
         self.same = full.groupBy("n_shingles", "mark1", "mark2").agg(
             F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows")
         )
+        several = self.same.where("rows > 1").withColumnRenamed("node", "twin")
+        self.several = stored(several, self.folder, "several")
         self.tried: DataFrame | None = None
         self.links: DataFrame | None = None
         self.number = 0
@@ -358,11 +362,25 @@ class _Join:
         found = self.docs.where("doc_id IS NOT NULL").join(ids, "doc_id", how)
         return found.select(F.col("doc_id").cast("long"), "text")
 
+    def with_twins(self, rows: DataFrame) -> DataFrame:
+        """The rows with ``twin``, the node of their set where several rows have it.
+
+        Rows of a hot group do not meet in one task: its node comes to them. There is at most one such
+        group for ``HOT_GROUP`` rows; more than ``BROADCAST_IDS`` of them are left to the shuffle.
+        """
+        of = ["n_shingles", "mark1", "mark2"]
+        hot = self.several.where(F.col("rows") > HOT_GROUP).drop("rows")
+        if hot.limit(BROADCAST_IDS + 1).count() > BROADCAST_IDS:
+            return rows.join(self.several.drop("rows"), of, "left")
+        marked = rows.join(F.broadcast(hot), of, "left")
+        cold = self.several.where(F.col("rows") <= HOT_GROUP).drop("rows")
+        others = marked.where("twin IS NULL").drop("twin").join(cold, of, "left")
+        return marked.where("twin IS NOT NULL").unionByName(others)
+
     def first_of_each(self) -> DataFrame:
         """The texts without copies: of equal sets, the one with the smallest doc_id."""
-        of = ["n_shingles", "mark1", "mark2"]
-        full = self.signed.where("doc_id IS NOT NULL")
-        copies = full.join(self.same.where("rows > 1"), of).where("doc_id <> node").select("doc_id")
+        full = self.signed.where("doc_id IS NOT NULL").drop("sketch")
+        copies = self.with_twins(full).where("doc_id <> twin").select("doc_id")
         return self._chosen(self.stored(copies.distinct(), "copies"), "left_anti")
 
     def buckets(self, keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -544,8 +562,7 @@ class _Join:
         self.try_pairs(self.stored(few, "rest-pairs"), "rest")
 
     def result(self) -> DataFrame:
-        several = self.same.where("rows > 1").drop("rows").withColumnRenamed("node", "twin")
-        found = self.signed.join(several, ["n_shingles", "mark1", "mark2"], "left")
+        found = self.with_twins(self.signed.drop("sketch"))
         found = found.select("doc_id", "n_shingles", F.coalesce("twin", "doc_id").alias("node"))
         found = found.join(self.components, "node", "left")
         component = F.when(
@@ -562,9 +579,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all columns: of each component the row with its smallest doc_id.
 
-    Of rows that repeat that doc_id one stays. Rows with null doc_id stay.
+    Rows that repeat that doc_id and the text go but for one; another text under the same
+    doc_id stays. Rows with null doc_id stay. Texts are shuffled only where ids are too many to
+    broadcast, or repeat.
     """
-    found = jaccard_components(docs)
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(stay, "doc_id", "left_semi").select(*docs.columns)
-    return named.dropDuplicates(["doc_id"]).union(docs.where("doc_id IS NULL"))
+    found = stored(jaccard_components(docs), shared_folder(docs.sparkSession, "kept"), "components")
+    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count(F.lit(1)).alias("rows")
+    )
+
+    def sized(chosen: DataFrame) -> DataFrame:
+        own = chosen.select("doc_id")
+        return F.broadcast(own) if own.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else own
+
+    named = docs.where("doc_id IS NOT NULL").join(sized(ids.where("NOT first")), "doc_id", "left_anti")
+    again = sized(ids.where("first AND rows > 1"))
+    once = named.join(again, "doc_id", "left_anti").select(*docs.columns)
+    repeated = named.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return once.unionAll(repeated).unionAll(docs.where("doc_id IS NULL"))

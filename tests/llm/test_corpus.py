@@ -51,6 +51,7 @@ def test_join_equals_all_pairs(spark, monkeypatch, small, block, spare):
     monkeypatch.setattr(parity, "SMALL_BUCKET", small)
     monkeypatch.setattr(parity, "SLOT_MEMBERS", block)
     monkeypatch.setattr(parity, "SPARE_KEYS", spare)
+    monkeypatch.setattr(parity, "HOT_GROUP", block)
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in parity.jaccard_components(docs).collect()}
@@ -76,13 +77,13 @@ def test_sketch_distance_bounds_the_difference():
 def test_one_document_of_each_group_stays(spark):
     words = " ".join(f"w{i}" for i in range(60))
     rows = [(5, words, 1), (3, words.upper(), 2), (3, words.upper(), 2), (9, words + " more", 3), (4, None, 4), (6, "", 5)]
-    rows += [(None, words, 6), (None, None, 7)]
+    rows += [(None, words, 6), (None, None, 7), (8, "one text", 8), (8, "another text", 9), (8, "one text", 8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, component_id int")
     got = parity.keep_one_each(docs)
     assert got.columns == docs.columns
-    assert sorted(r.component_id for r in got.collect()) == [2, 4, 5, 6, 7]
+    assert sorted(r.component_id for r in got.collect()) == [2, 4, 5, 6, 7, 8, 9]
     found = {(r.doc_id, r.component_id) for r in parity.jaccard_components(docs).collect()}
-    assert found == {(5, 3), (3, 3), (9, 3), (4, 4), (6, 6), (None, None)}
+    assert found == {(5, 3), (3, 3), (9, 3), (4, 4), (6, 6), (8, 8), (None, None)}
     assert parity.keep_one_each(docs.limit(0)).collect() == []
 
 

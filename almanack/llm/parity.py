@@ -16,13 +16,13 @@ and B have a Jaccard similarity of at least 3/4 only if that is at most (|A| + |
    documents sends one row a task.
 4. Candidates whose compact sketches are too far apart are dropped, the others verified by
    the sets. Links give components.
-5. A bucket of several components has pairs left to try. In small buckets these are tried.
+5. A bucket of several components has pairs left to try. In small buckets all are.
    A document with at most s keys in large ones of that kind has a small one in common with
    each partner. The others, which are mostly made of what many share, are keyed once more,
-   by the blocks that are rare among them; all pairs of different components in the new
-   buckets are tried. In large ones of these, sets meet in a task, sketches are compared
-   in numpy, what is near enough is verified there, and only links that join components
-   become rows. So no link is lost but between documents already in one component.
+   by the blocks that are rare among them, and all open buckets of the new keys are tried. Trying is
+   done within tasks: sketches of a bucket's members meet, then the sets of those that are
+   near to one of another component, and only links that join components become rows. So no link is
+   lost but between documents already in one component.
 
 Texts of chosen documents are found by a broadcast of their ids if these are at most
 ``BROADCAST_IDS``, as counted, and by a shuffle otherwise.
@@ -244,6 +244,34 @@ def _keyed(texts: DataFrame, ranked=None) -> DataFrame:
     return texts.mapInArrow(work, "key long, node long, hub long, alone boolean")
 
 
+def _groups(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """Numbers of groups, in the order of the rows; node, component; who is of the left and the right slot."""
+    names = np.stack([rows.column(c).to_numpy() for c in ("family", "i", "j")])
+    group = np.concatenate(([0], np.cumsum((names[:, 1:] != names[:, :-1]).any(axis=0))))
+    node, component, slot = (rows.column(c).to_numpy() for c in ("node", "component", "slot"))
+    return group, node, component, slot == names[1], slot == names[2]
+
+
+def _near_rows(rows: pa.Table) -> list[pa.Array]:
+    group, node, component, left, right = _groups(rows)
+    sizes = rows.column("n_shingles").to_numpy()
+    near = near_members(group, component, sizes, rows.column("sketch").to_pylist(), left, right)
+    return [pa.array(x[near]) for x in (rows.column("family").to_numpy(), node, component)]
+
+
+def _link_rows(rows: pa.Table) -> list[pa.Array]:
+    group, node, component, left, right = _groups(rows)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("set")]
+    cuts = np.flatnonzero(np.diff(group)) + 1
+    found = []
+    for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(group)], strict=True):
+        own = slice(low, high)
+        for a, b in links_between(component[own], sets[own], left[own], right[own]):
+            found.append(sorted((int(node[low + a]), int(node[low + b]))))
+    ends = np.array(found, np.int64).reshape(-1, 2)
+    return [pa.array(ends[:, 0]), pa.array(ends[:, 1])]
+
+
 def _frequent_keys(texts: DataFrame) -> DataFrame:
     """(key, count) of keys that occur more than once in a lot of one task.
 
@@ -282,6 +310,36 @@ def shared_sizes(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return sums[ends] - sums[ends - sizes]
 
 
+def near_members(group, component, sizes, sketches, left, right) -> np.ndarray:
+    """Which members of some groups, rows in the order of the groups, may link with another of theirs.
+
+    That is with a member of another component, by size and sketch, one of them from the left
+    and one from the right. Rows are compared with the next one, the next but one and so on,
+    in all groups at a time; within a band of sizes, and with those of the band above, folded.
+    """
+    near, own = np.zeros(len(group), bool), bands(sizes)
+    for band in np.unique(own):
+        pick = np.flatnonzero((own == band) | (own == band + 1))
+        width = _sketch_bits(int(band)) // 64
+        bits = np.empty((len(pick), width), np.uint64)
+        for row, i in enumerate(pick.tolist()):
+            bits[row] = np.bitwise_xor.reduce(np.frombuffer(sketches[i], np.uint64).reshape(-1, width), axis=0)
+        g, c, n, l, r, low = (x[pick] for x in (group, component, sizes, left, right, own == band))
+        step, rows = 0, np.arange(len(pick))
+        while len(rows):
+            step += 1
+            rows = rows[rows < len(pick) - step]
+            rows = rows[g[rows] == g[rows + step]]
+            x, y = rows, rows + step
+            may = (c[x] != c[y]) & (low[x] | low[y]) & ((l[x] & r[y]) | (r[x] & l[y]))
+            may &= 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
+            x, y = x[may], y[may]
+            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+            found = 7 * apart <= n[x] + n[y]
+            near[pick[x[found]]] = near[pick[y[found]]] = True
+    return near
+
+
 def links_between(component, sets, left, right) -> list[tuple[int, int]]:
     """Links that join the components of a group, as places: fewer of them than components.
 
@@ -441,9 +499,7 @@ class _Join:
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         found = pairs.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long")
-        found = self.stored(found.distinct(), f"{name}-links")
-        self.links = found if self.links is None else self.links.union(found)
-        self.components = components(self.links, self.folder, f"{name}-components")
+        self.add_links(found, name)
 
     def open_members(self, members: DataFrame) -> DataFrame:
         """(key, node, component, n) of buckets that hold several components."""
@@ -457,69 +513,74 @@ class _Join:
         state = state.where("low <> high AND n > 2").select("key", "n")
         return self.stored(members.join(state, "key"), "open")
 
-    def open_pairs(self, members: DataFrame) -> DataFrame:
-        """Pairs (a, b) of one bucket and different components."""
-        x = members.select("key", F.col("node").alias("x"), F.col("component").alias("cx"))
-        y = members.select("key", F.col("node").alias("y"), F.col("component").alias("cy"))
-        pairs = x.join(y, "key").where("x < y AND cx <> cy")
-        return pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-
-    def open_links(self, members: DataFrame) -> DataFrame:
-        """Links (a, b) that join the components of buckets, found within tasks.
-
-        Buckets with the same least member are one family, so that a document with many
-        keys in common with others is there once. A family's sets are dealt
-        into k slots of a bounded size, and each pair of slots is a group of its own: at most
-        k rows for each member, and no group grows with the family. A group gives
-        links only, fewer than it has components.
+    def open_links(self, members: DataFrame, name: str) -> None:
+        """Add links that join the components of open buckets, found within tasks.
+
+        Buckets with the same least member are one family, so that documents with many
+        keys in common meet once. First the sketches of a family meet, and members go that are
+        near to none of another component; then the sets of those that stay. So what leaves the
+        tasks is a row for a member, or a link that joins components, and no pairs.
         """
         least = members.groupBy("key").agg(F.min("node").alias("family"))
         placed = members.join(least, "key").select("family", "node", "component").distinct()
-        placed = self.stored(placed, "families")
-        sets = _over_texts(self.texts(placed.select("node").distinct()), "node long, set binary", _set_bytes)
-        sets = self.stored(sets.dropDuplicates(["node"]), "family-sets")
-        sized = placed.join(sets.select("node", F.octet_length("set").alias("bytes")), "node")
-        several = sized.groupBy("family").agg(
+        placed = self.stored(placed, f"{name}-families")
+        marks = self.signed.select(F.col("doc_id").alias("node"), "n_shingles", "sketch")
+        near = self._within_families(
+            placed, marks, F.octet_length("sketch"), ["n_shingles", "sketch"], _near_rows, "family long, node long, component long"
+        )
+        near = self.stored(near.distinct(), f"{name}-near")
+        sets = _over_texts(self.texts(near.select("node").distinct()), "node long, set binary", _set_bytes)
+        sets = self.stored(sets, f"{name}-sets")
+        links = self._within_families(near, sets, F.octet_length("set"), ["set"], _link_rows, "a long, b long")
+        self.add_links(links, name)
+
+    def _within_families(self, placed: DataFrame, with_: DataFrame, size: Column, names: list, rows: Callable, schema: str):
+        """``rows`` of the members of each family, dealt in blocks, with columns of another table.
+
+        A family's members are dealt into k slots of bounded size, and each pair of slots is a group of
+        its own: at most k rows for each member, and no group grows with the family.
+        """
+        sized = placed.join(with_.select("node", size.alias("bytes")), "node").groupBy("family").agg(
             F.greatest(F.sum("bytes") / SLOT_BYTES, F.count(F.lit(1)) / SLOT_MEMBERS).alias("size"),
             F.min("component").alias("low"),
             F.max("component").alias("high"),
         )
-        slots = F.ceil("size").cast("int").alias("k")
-        several = several.where("low <> high").select("family", slots)
+        several = sized.where("low <> high").select("family", F.ceil("size").cast("int").alias("k"))
         slot = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
         dealt = placed.join(several, "family").select(
             "*", slot.alias("slot"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
         )
-        group = ("family", "i", "j")
-        dealt = dealt.join(sets, "node").select(
+        group = ["family", "i", "j"]
+        # An id that has several rows is one member here; its rows have a component of their own.
+        dealt = dealt.join(with_, "node").select(
             "family", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"),
-            "slot", "node", "component", "set",
+            "slot", "node", "component", *names,
         ).repartition(*group).sortWithinPartitions(*group, "node")
-
-        def compare(rows: pa.Table) -> pa.RecordBatch:
-            i, j, slot, node, component = (rows.column(c).to_numpy() for c in ("i", "j", "slot", "node", "component"))
-            sets = [np.frombuffer(x.as_buffer(), np.uint64) for chunk in rows.column("set").chunks for x in chunk]
-            found = links_between(component, sets, slot == i, slot == j) if len(sets) > 1 else []
-            places = np.array(found, np.int64).reshape(-1, 2)
-            ends = np.sort(node[places], axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+        named = [c.split()[0] for c in schema.split(", ")]
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, name = [], None
+            held, held_rows, last = [], 0, None
             for batch in batches:
-                names = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy() for c in group])
-                cuts = np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1
-                for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
-                    own = tuple(names[:, low])
-                    if held and own != name:
-                        yield compare(pa.Table.from_batches(held))
-                        held = []
-                    held.append(batch.slice(low, high - low))
-                    name = own
-            if held:
-                yield compare(pa.Table.from_batches(held))
-
-        return dealt.mapInArrow(work, "a long, b long").distinct()
+                keys = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy() for c in group])
+                cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+                begin = 0
+                # A run ends where a group does, once it has rows enough.
+                for cut in ([0] if held and tuple(keys[:, 0]) != last else []) + cuts.tolist():
+                    if held_rows + cut - begin >= 2 * SLOT_MEMBERS:
+                        held.append(batch.slice(begin, cut - begin))
+                        yield pa.RecordBatch.from_arrays(rows(pa.Table.from_batches(held)), named)
+                        held, held_rows, begin = [], 0, cut
+                held.append(batch.slice(begin))
+                held_rows, last = held_rows + len(batch) - begin, tuple(keys[:, -1])
+            if held_rows:
+                yield pa.RecordBatch.from_arrays(rows(pa.Table.from_batches(held)), named)
+
+        return dealt.mapInArrow(work, schema)
+
+    def add_links(self, links: DataFrame, name: str) -> None:
+        links = self.stored(links.distinct(), f"{name}-links")
+        self.links = links if self.links is None else self.links.union(links)
+        self.components = components(self.links, self.folder, f"{name}-components")
 
     def run(self) -> DataFrame:
         """All jobs but the last, with Arrow batches that a worker can hold twice."""
@@ -536,12 +597,11 @@ class _Join:
         self.try_pairs(pairs, "first")
         self.tried = pairs
         left = self.open_members(members)
-        small = self.open_pairs(left.where(F.col("n") <= SMALL_BUCKET))
         counts = left.where(F.col("n") > SMALL_BUCKET).groupBy("node").agg(F.count(F.lit(1)).alias("large"))
         sized = counts.join(self.signed.select(F.col("doc_id").alias("node"), "n_shingles"), "node")
         large = sized.where(F.col("large") > spare_of_partners(F.col("n_shingles"))).select("node")
         large = self.stored(large.distinct(), "large")
-        self.try_pairs(small, "small")
+        self.open_links(left.where(F.col("n") <= SMALL_BUCKET), "small")
         if not large.isEmpty():
             self.by_rare_keys(large)
 
@@ -555,11 +615,7 @@ class _Join:
         members, pairs = self.buckets(_keyed(self.texts(nodes), ranked))
         self.try_pairs(pairs, "rare")
         left = self.open_members(members)
-        self.tried = self.stored(self.tried.union(pairs).distinct(), "tried")
-        many = self.open_links(left.where(F.col("n") > SMALL_BUCKET))
-        few = self.open_pairs(left.where(F.col("n") <= SMALL_BUCKET))
-        self.links = self.links.union(self.stored(many, "many-links"))
-        self.try_pairs(self.stored(few, "rest-pairs"), "rest")
+        self.open_links(left, "rest")
 
     def result(self) -> DataFrame:
         found = self.with_twins(self.signed.drop("sketch"))

@@ -333,7 +333,7 @@ def test_a_large_group_of_near_but_unlinked_copies(spark, monkeypatch):
         join.stored = counted
         got = {r.doc_id: r.component_id for r in join.run().collect()}
         assert got == {d: i for i, (d, _) in enumerate(rows[:n])} | {n + i: i for i in range(0, n, 10)}
-        emitted[n] = {name: size for name, size in sizes if name in ("many-links", "first-near", "rest-pairs")}
+        emitted[n] = {name: size for name, size in sizes if name in ("small-near", "rest-near", "rest-links", "first-near")}
     for name, size in emitted[1200].items():
         assert size <= 5 * max(emitted[300].get(name, 0), 100), emitted
 

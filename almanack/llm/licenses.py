@@ -4,8 +4,9 @@ A text is read as words and sentence breaks. Each sentence that equals a known l
 sentence, after normalising case, punctuation and spacing, is mapped to its identifier
 (``#`` in a known sentence stands for any number, as of a version, and ``*`` for one to twelve
 words, as of a holder's name; in a document both are punctuation, as of a comment or heading). The
-sequence of identifiers is then matched against ordered rules, the longest first. The expression of an
-SPDX line is a licence as it is written.
+sequence of identifiers is then matched against ordered rules, the longest first; sentences farther apart than
+``LARGEST_GAP`` characters (in the text of a GNU licence ``LARGEST_TEXT``) are not of one licence. The expression of an
+SPDX line is a licence as it is written. British spellings count as American ones.
 
 A sentence ends at a full stop, colon, semicolon, exclamation or question mark before white
 space, and at an empty line; it may also begin or end at a line's start or end, and run over
@@ -101,6 +102,52 @@ SENTENCES = {
     "cc0-notice": "This work is dedicated to the public domain under CC0 #",
 }
 
+# Name, titles and grants of further licences; a grant may end in other words (its first sentence).
+_OTHERS = {
+    "Zlib": (
+        ("zlib License", "The zlib License", "zlib/libpng License"),
+        ("Permission is granted to anyone to use this software for any purpose, including commercial applications,"
+         " and to alter it and redistribute it freely, subject to the following restrictions",),
+    ),
+    "BSL-#": (
+        ("Boost Software License - Version # - August 17th, 2003", "Distributed under the Boost Software License, Version #"),
+        ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software"
+         " and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display,"
+         " distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to"
+         " permit third-parties to whom the Software is furnished to do so, all subject to the following",),
+    ),
+    "0BSD": (
+        ("BSD Zero Clause License", "Zero-Clause BSD"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
+         " hereby granted",),
+    ),
+    "WTFPL": (
+        ("Do What The Fuck You Want To Public License",),
+        ("Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and"
+         " changing it is allowed as long as the name is changed",),
+    ),
+    "EPL-#": (
+        ("Eclipse Public License - v #", "Eclipse Public License, Version #", "Eclipse Public License Version #"),
+        ("This program and the accompanying materials are made available under the terms of the Eclipse Public"
+         " License v#", "This program and the accompanying materials are made available under the terms of the Eclipse"
+         " Public License # which is available at"),
+    ),
+    "Artistic-#": (("The Artistic License #", "Artistic License #"), ()),
+    "OFL-#": (
+        ("SIL Open Font License Version # - 26 February 2007", "SIL Open Font License, Version #"),
+        ("This Font Software is licensed under the SIL Open Font License, Version #",),
+    ),
+    "CDDL-#": (
+        ("Common Development and Distribution License (CDDL) Version #", "Common Development and Distribution License #"),
+        ("The contents of this file are subject to the terms of the Common Development and Distribution License (the"
+         " \"License\")",),
+    ),
+    "EUPL-#": (
+        ("European Union Public Licence v. #", "European Union Public Licence, Version #"),
+        ("Licensed under the EUPL, Version #", "Licensed under the EUPL v#"),
+    ),
+}
+
 # Notices, grants, titles and first words of the GNU licences, by identifier.
 _GNU = {
     "gpl": "General Public License",
@@ -168,6 +215,13 @@ def _families() -> tuple[dict[str, str], list[tuple[str, tuple[str, ...]]]]:
                 middles.append(("gnu-verbatim", "gpl-body-1"))
             rules += [(licence, (t, *m)) for m in middles]
             rules += [(licence, (t, *m, g)) for m in ((), *middles) for g in ends]
+    for licence, (titles, grants) in _OTHERS.items():
+        name = licence.removesuffix("-#").lower()
+        heads = [f"{h} the {t}" for h in _HEADS for t in titles if not t.startswith(("The ", "Distributed"))]
+        known = add(f"{name}-title", [*titles, *heads])
+        given = add(f"{name}-grant", list(grants))
+        rules += [(licence, (x,)) for x in (*known, *given)]
+        rules += [(licence, (t, g)) for t in known for g in given]
     for kind, names in _CC.items():
         tails = ("International License", "Unported License", "Generic License", "License", "International", "")
         full = [f"{h} {a} Creative Commons {n} # {t}" for h in _HEADS for a in ("a", "the", "") for n in names for t in tails]
@@ -234,7 +288,7 @@ RULES = (
 #: Every known sentence holds one of these; texts with none need no closer look.
 #: They lie within a word, as lines may end between words.
 MARKERS = re.compile(
-    r"licens|permission|software|redistribut|copyright|domain|advertising|creative|mozilla|\bcc\b"
+    r"licen[sc]|permission|software|redistribut|copyright|domain|advertising|creative|mozilla|\bcc\b|eupl|bsd|materials|cddl"
 )
 
 _TOKEN = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*|\n|[.:;!?](?=\s|$)")
@@ -245,12 +299,18 @@ _SPDX = re.compile(rf"(?i:spdx-license-identifier):[ \t]*({_SPDX_ID}(?:[ \t]+(?:
 _NUMBER = re.compile(r"[0-9]+(\.[0-9]+)*")
 
 
+#: British spellings, which the known sentences are read with too.
+_SPELLED = {"licence": "license", "licences": "licenses", "licenced": "licensed", "sublicence": "sublicense"}
+#: Characters that may lie between two sentences of a rule; the text of a licence lies between a GNU title and its grant.
+LARGEST_GAP, LARGEST_TEXT = 2_000, 60_000
+
+
 def _words(text: str) -> tuple[list[tuple[str, int, int]], set[int]]:
     """Words with their places, and the numbers of words before which a sentence may break."""
     words, breaks = [], {0}
     for m in _TOKEN.finditer(text):
         if m[0][0].isalnum():
-            words.append((m[0], m.start(), m.end()))
+            words.append((_SPELLED.get(m[0], m[0]), m.start(), m.end()))
         else:
             breaks.add(len(words))
     return words, breaks | {len(words)}
@@ -265,6 +325,7 @@ def _known() -> dict[str, list[tuple[list[str], str]]]:
             raise ValueError(f"sentence {name} has none of the markers")
         forms = [[]]
         for word in _PATTERN.findall(low):
+            word = _SPELLED.get(word, word)
             lengths = range(1, _LONGEST_NAME + 1) if word == "*" else (1,)
             forms = [f + [word] * n for f in forms for n in lengths]
         for words in forms:
@@ -317,9 +378,9 @@ def licences(found: list[tuple[str, str, int, int]]) -> list[str]:
     names, out, at = [s[0] for s in found], [], 0
     while at < len(names):
         for licence, rule in _BY_FIRST.get(names[at], ()):
-            if tuple(names[at : at + len(rule)]) == rule:
+            if tuple(names[at : at + len(rule)]) == rule and _adjacent(found[at : at + len(rule)]):
                 number = next((s[1] for s in found[at : at + len(rule)] if s[1]), "")
-                out.append(licence.replace("#", number))
+                out.append(licence.replace("#", number) if number else licence.removesuffix("-#"))
                 at += len(rule)
                 break
         else:
@@ -327,6 +388,14 @@ def licences(found: list[tuple[str, str, int, int]]) -> list[str]:
     return out
 
 
+def _adjacent(found: list[tuple[str, str, int, int]]) -> bool:
+    """Whether no two sentences that follow each other are too far apart to be of one licence."""
+    return all(
+        b[2] - a[3] <= (LARGEST_TEXT if "gnu-verbatim" in (a[0], b[0]) or "-body-" in a[0] else LARGEST_GAP)
+        for a, b in zip(found, found[1:])
+    )
+
+
 def scan_licences(docs: DataFrame) -> DataFrame:
     """A row for each document: its licences, and the sentences that were recognised."""
     names = ["doc_id", "licences", "sentences", "spans"]

@@ -304,3 +304,32 @@ def test_licences_in_comments(mark):
     ):
         lines = "\n".join(mark + line for line in text.split("\n"))
         assert licenses.licences(licenses.known_sentences(lines)) == [want], lines
+
+
+def scanned(spark, *texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.licences for r in licenses.scan_licences(docs).orderBy("doc_id").collect()]
+
+
+def test_further_licences_and_spellings(spark):
+    assert scanned(
+        spark,
+        "zlib License\n\nThis software is provided as it is.\n\nPermission is granted to anyone to use this software for"
+        " any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the"
+        " following restrictions:\n",
+        "# Boost Software License - Version 1.0 - August 17th, 2003\n",
+        "// Distributed under the Boost Software License, Version 1.0.",
+        "Eclipse Public License - v 2.0\n\n",
+        "Licensed under the EUPL, Version 1.2.\n",
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1.\n",
+        "The contents of this file are subject to the terms of the\nCommon Development and Distribution License (the"
+        ' "License").\n',
+        "Released under the MIT Licence.\nLicenced under the Apache Licence, Version 2.0.\n",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n",
+    ) == [["Zlib"], ["BSL-1.0"], ["BSL-1.0"], ["EPL-2.0"], ["EUPL-1.2"], ["OFL-1.1"], ["CDDL"], ["MIT", "Apache-2.0"], ["0BSD"]]
+
+
+def test_sentences_far_apart_are_two_licences(spark):
+    title, grant = licenses.SENTENCES["mit-title"], licenses.SENTENCES["mit-grant"] + ":"
+    far = "word " * 1000
+    assert scanned(spark, f"{title}\n\n{grant}", f"{title}\n\n{far}\n\n{grant}") == [["MIT"], ["MIT", "MIT"]]

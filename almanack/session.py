@@ -35,6 +35,8 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """
     folder = fresh_folder(spark.conf)
     context = spark.sparkContext
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        require_shared(folder, context.master)
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(context._jsc.hadoopConfiguration())
     files.mkdirs(path)
@@ -42,6 +44,12 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}"
 
 
+def require_shared(folder: str, master: str) -> None:
+    """Refuse a warehouse on the driver's disk where executors run on other machines."""
+    if folder.startswith("file:") and not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+
+
 def fresh_folder(conf) -> str:
     """A folder of its own within one that driver and executors share.
 

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 
 from almanack import schemas
 from almanack import sources as S
-from almanack.session import fresh_folder, staging_path
+from almanack.session import fresh_folder, require_shared, staging_path
 from almanack.sources.records import STATION_SLICES, WEATHER_FIELDS
 
 def rows(df):
@@ -163,3 +163,10 @@ def test_staged_files_have_a_folder_of_their_own(spark):
     assert one != two
     spark.range(3).write.csv(one)
     assert spark.read.csv(one).count() == 3
+
+
+def test_a_local_warehouse_is_refused_on_a_cluster():
+    require_shared("file:/warehouse/x", "local[8]")
+    require_shared("hdfs://name/warehouse/x", "yarn")
+    with pytest.raises(ValueError, match="checkpoint"):
+        require_shared("file:/warehouse/x", "spark://host:7077")

@@ -114,6 +114,68 @@ FROM levelled LEFT JOIN ruled USING (host, path)
 """
 
 
+JACCARD = f"""
+WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets AS a JOIN sets AS b USING (s)
+  WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes AS a ON x = a.doc_id JOIN sizes AS b ON y = b.doc_id
+  WHERE 100 * c >= 75 * (a.n + b.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(node, other) AS (
+  SELECT x, x FROM edges UNION SELECT node, y FROM reached JOIN edges ON other = x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least_one, doc_id) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT node AS doc_id, min(other) AS least_one FROM reached GROUP BY node) USING (doc_id)
+"""
+
+
+def _repeated(size: int) -> str:
+    """Places of words in windows of so many words that a text has twice or more."""
+    return f"""
+repeated_{size} AS (
+  SELECT DISTINCT doc_id, i + k AS i
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS times
+        FROM (SELECT doc_id, i, array_to_string(w[i:i + {size - 1}], ' ') AS s
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) - {size - 2})) AS i FROM words)))
+       CROSS JOIN range({size}) AS r(k)
+  WHERE times > 1),
+covered_{size} AS (
+  SELECT doc_id, count(*) AS words_{size}, sum(length(w[i])) AS chars_{size}
+  FROM repeated_{size} JOIN words USING (doc_id) GROUP BY doc_id)"""
+
+
+REPETITION = f"""
+WITH words AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+{_repeated(3)}, {_repeated(5)}, {_repeated(7)}, {_repeated(10)},
+lines AS (
+  SELECT doc_id, line, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)),
+line_sums AS (
+  SELECT doc_id, sum(times - 1) AS dup_lines, sum(CASE WHEN times > 1 THEN times * chars ELSE 0 END) AS dup_chars
+  FROM (SELECT doc_id, line, chars, count(*) AS times FROM lines WHERE chars > 0 GROUP BY ALL) GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, len(w) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         CAST(coalesce(dup_lines, 0) AS BIGINT) AS n_dup_lines, coalesce(words_5, 0) AS n_repeat_words,
+         coalesce(chars_3, 0) / greatest(word_chars, 1) > CAST(0.50 AS DOUBLE)
+           OR coalesce(chars_5, 0) / greatest(word_chars, 1) > CAST(0.30 AS DOUBLE)
+           OR coalesce(chars_7, 0) / greatest(word_chars, 1) > CAST(0.25 AS DOUBLE)
+           OR coalesce(chars_10, 0) / greatest(word_chars, 1) > CAST(0.20 AS DOUBLE)
+           OR coalesce(dup_chars, 0) / greatest(word_chars, 1) > CAST(0.30 AS DOUBLE) AS "over"
+  FROM documents JOIN words USING (doc_id) LEFT JOIN line_sums USING (doc_id) LEFT JOIN covered_3 USING (doc_id)
+  LEFT JOIN covered_5 USING (doc_id) LEFT JOIN covered_7 USING (doc_id) LEFT JOIN covered_10 USING (doc_id)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured)
+SELECT * EXCLUDE ("over"), NOT base_failed AND NOT "over" AS kept FROM judged
+"""
+
+
 def _drawn(k: int) -> str:
     return f"CAST('0x' || substr(drawn, {8 * k - 7}, 8) AS BIGINT)"
 
@@ -143,6 +205,8 @@ FROM parts
 
 ORACLES = {
     "op5_decontamination": DECONTAMINATION,
+    "op6_repetition": REPETITION,
+    "op7_jaccard_join": JACCARD,
     "op8_warc": WARC,
     "op11_url_reputation": URLS,
     "op12_fill_in_middle": FILL_IN_MIDDLE,

@@ -53,7 +53,8 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = repetition_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("dup_ngram_shares", "dup_line_share")
 
 
 @_query

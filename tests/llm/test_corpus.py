@@ -64,6 +64,11 @@ def test_join_query(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_components(rows)
 
 
+def test_join_agrees_with_sql(spark):
+    found = QUERIES["op7_jaccard_join"](spark, f"{DATA}/sf0.01")
+    assert difference(found, oracle(f"{DATA}/sf0.01"), ORACLES["op7_jaccard_join"]) is None
+
+
 def test_sketch_distance_bounds_the_difference():
     random.seed(1)
     for _ in range(200):

@@ -9,8 +9,9 @@ import time
 import pyarrow as pa
 import pytest
 from almanack.llm import licenses, pii, repetition, secrets
-from almanack.llm.queries import QUERIES
+from almanack.llm.queries import ORACLES, QUERIES
 from brute import repetition as plain_repetition
+from compare import difference, oracle
 from conftest import DATA
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -43,6 +44,11 @@ def test_repetition_of_small_texts(texts):
     assert measured(texts) == [plain_repetition(t) for t in texts]
 
 
+def test_repetition_agrees_with_sql(spark):
+    found = QUERIES["op6_repetition"](spark, f"{DATA}/sf0.01")
+    assert difference(found, oracle(f"{DATA}/sf0.01"), ORACLES["op6_repetition"]) is None
+
+
 def test_shares_of_repeated_ngrams_and_lines():
     text = "one two three four five six seven eight nine ten eleven"
     found = repetition.measure(pa.array([text, f"{text}\n{text}", "x y\n" * 2 + text]))

@@ -183,6 +183,7 @@ def pack_documents(
                     batch_out, n_windows, n_groups = rows(lot, task, n_windows, n_groups)
                     yield batch_out
                     lot, size = [], 0
+        tokens.forget()
         if lot:
             yield rows(lot, task, n_windows, n_groups)[0]
 

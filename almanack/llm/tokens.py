@@ -120,6 +120,10 @@ class Encoder:
         out[full] |= gap[texts.offsets[full]] | gap[texts.offsets[full + 1] - 1]
         return out if n else np.zeros(len(texts), bool)
 
+    def forget(self) -> None:
+        """Give the room of what is remembered back, as a task ends and its worker waits."""
+        self.known = _Known()
+
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null: none."""
         texts = _Chunks(column)

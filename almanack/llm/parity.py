@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import drop_stored, shared_folder, stored
+from .storage import drop_stored, give_back, shared_folder, stored
 from .words import STEP, Texts, mixed, runs
 
 SHINGLE = 5
@@ -63,7 +63,7 @@ VERIFIED = 64
 #: So many keys, the most frequent ones, are ranked in the second way: 16 bytes each.
 RANKED_KEYS = 500_000
 #: Sets of pairs are large rows; batches are bounded by bytes for the jobs of the join.
-ARROW_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+ARROW_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "2m"
 #: Keys are combined within a task in lots of so many.
 LOT_KEYS = 500_000
 
@@ -182,6 +182,7 @@ def _over_texts(df: DataFrame, schema: str, row: Callable) -> DataFrame:
             for low, high in runs(batch.column(1)):
                 part = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays(row(part.column(0), *sets_of(part.column(1))), names=names)
+        give_back()
 
     names = [c.split()[0] for c in schema.split(", ")]
     return df.mapInArrow(work, schema)
@@ -240,6 +241,8 @@ def _keyed(texts: DataFrame, ranked=None) -> DataFrame:
                     keys, nodes, n = [], [], 0
         if n:
             yield combined(keys, nodes)
+        keys = nodes = None
+        give_back()
 
     return texts.mapInArrow(work, "key long, node long, hub long, alone boolean")
 
@@ -296,6 +299,8 @@ def _frequent_keys(texts: DataFrame) -> DataFrame:
                     keys, n = [], 0
         if n:
             yield counted(keys)
+        keys = None
+        give_back()
 
     return texts.mapInArrow(work, "key long, count long")
 
@@ -404,6 +409,7 @@ class _Join:
         self.several = stored(several, self.folder, "several")
         self.tried: DataFrame | None = None
         self.links: DataFrame | None = None
+        self.known_components: DataFrame | None = None
         self.number = 0
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
@@ -574,13 +580,23 @@ class _Join:
                 held_rows, last = held_rows + len(batch) - begin, tuple(keys[:, -1])
             if held_rows:
                 yield pa.RecordBatch.from_arrays(rows(pa.Table.from_batches(held)), named)
+            held = None
+            give_back()
 
         return dealt.mapInArrow(work, schema)
 
     def add_links(self, links: DataFrame, name: str) -> None:
         links = self.stored(links.distinct(), f"{name}-links")
         self.links = links if self.links is None else self.links.union(links)
-        self.components = components(self.links, self.folder, f"{name}-components")
+        self.known_components = None
+
+    @property
+    def components(self) -> DataFrame:
+        """(node, component) by the links so far, computed when it is asked for after new ones."""
+        if self.known_components is None:
+            self.number += 1
+            self.known_components = components(self.links, self.folder, f"components-{self.number}")
+        return self.known_components
 
     def run(self) -> DataFrame:
         """All jobs but the last, with Arrow batches that a worker can hold twice."""

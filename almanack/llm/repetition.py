@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .storage import give_back
 from .words import Texts, mixed, repeated, runs, windows
 
 #: Largest share of the characters of words inside repeated n-grams, by n-gram length.
@@ -151,6 +152,7 @@ def keep_unrepetitive(docs: DataFrame, text: str = "text") -> DataFrame:
             for begin, end in runs(column):
                 part = batch.slice(begin, end - begin)
                 yield part.filter(measure(column.slice(begin, end - begin))["kept"])
+        give_back()
 
     return docs.mapInArrow(work, docs.schema)
 

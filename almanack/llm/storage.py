@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +40,14 @@ def drop_stored(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, for when a task ends and its Python worker waits for another."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def filesystem(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     """Arrow's file system for a URI (file, hdfs, s3, gs), and the path within it."""
     return arrow_fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .storage import give_back
 from .words import Texts, runs
 
 SHINGLE = 5
@@ -182,6 +183,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text") -> Data
                     clean = np.ones(len(part), bool)
                     clean[[m[0] for m in index.matches(part.column(at), filters)]] = False
                     yield part.filter(pa.array(clean))
+            index = filters = None
+            give_back()
 
         return work
 

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .storage import give_back
 from .tokens import encoder
 from .words import runs
 
@@ -186,9 +187,11 @@ def pack_documents(
                     batch_out, n_windows, n_groups = rows(lot, task, n_windows, n_groups)
                     yield batch_out
                     lot, size = [], 0
-        if forget:
-            tokens.forget()
         if lot:
             yield rows(lot, task, n_windows, n_groups)[0]
+        if forget:
+            tokens.forget()
+            lot = ids_of = batch = None
+            give_back()
 
     return docs.select("doc_id", "text").mapInArrow(work, schema)

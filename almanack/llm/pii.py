@@ -24,6 +24,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .storage import give_back
 from .words import runs
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -268,5 +269,6 @@ def redact(docs: DataFrame, text: str = "text", size: str = "n_chars") -> DataFr
                     field = part.schema.field(size_at)
                     part = part.set_column(size_at, field, pa.array(new, field.type))
                 yield part
+        give_back()
 
     return docs.mapInArrow(work, docs.schema)

@@ -17,6 +17,15 @@ from almanack.operators.ranking import first_rows
 TMAX, TMIN = "TMAX", "TMIN"
 
 
+def _first(measurements: DataFrame, limit: int | None) -> DataFrame:
+    """The first so many maxima and so many minima."""
+    if limit is None:
+        return measurements
+    kinds = [measurements.filter(F.col("measure") == kind) for kind in (TMAX, TMIN)]
+    first = [first_rows(rows, limit, "sid", "date", "value") for rows in kinds]
+    return first[0].unionByName(first[1])
+
+
 def station_temperature(
     measurements: DataFrame, stations: DataFrame, limit: int | None = None
 ) -> DataFrame:
@@ -25,11 +34,7 @@ def station_temperature(
     ``limit`` keeps only the first so many maxima and so many minima, in order
     of station, date and value. They are selected by rank, not by a top-n.
     """
-    data = measurements.filter(F.col("measure").isin(TMAX, TMIN))
-    if limit is not None:
-        kinds = [data.filter(F.col("measure") == kind) for kind in (TMAX, TMIN)]
-        first = [first_rows(rows, limit, "sid", "date", "value") for rows in kinds]
-        data = first[0].unionByName(first[1])
+    data = _first(measurements, limit).filter(F.col("measure").isin(TMAX, TMIN))
 
     def of(kind: str, value: Column) -> Column:
         return F.when(F.col("measure") == kind, value)
@@ -59,21 +64,20 @@ def station_temperature_sql(
     limit: int | None = None,
 ) -> DataFrame:
     """The same result from SQL text: maxima joined with minima, then stations."""
-    measurements.createOrReplaceTempView("almanack_measurements")
+    _first(measurements, limit).createOrReplaceTempView("almanack_measurements")
     stations.createOrReplaceTempView("almanack_stations")
-    first = "" if limit is None else f"ORDER BY sid, date, value LIMIT {limit:d}"
-    return spark.sql(f"""
+    return spark.sql("""
         SELECT * FROM
           (SELECT sid,
                   (sum(max_sum * min_n) + sum(min_sum * max_n)) / nullif(sum(max_n * min_n), 0)
                     / 20 * 1.8 + 32 AS tave
            FROM
              (SELECT sid, date, CAST(count(value) AS DOUBLE) AS max_n, sum(value) AS max_sum
-              FROM (SELECT * FROM almanack_measurements WHERE measure = 'TMAX' {first})
+              FROM (SELECT * FROM almanack_measurements WHERE measure = 'TMAX')
               GROUP BY sid, date)
              JOIN
              (SELECT sid, date, CAST(count(value) AS DOUBLE) AS min_n, sum(value) AS min_sum
-              FROM (SELECT * FROM almanack_measurements WHERE measure = 'TMIN' {first})
+              FROM (SELECT * FROM almanack_measurements WHERE measure = 'TMIN')
               GROUP BY sid, date)
              USING (sid, date)
            GROUP BY sid)

@@ -7,6 +7,7 @@ import pytest
 
 from almanack import plans as P
 from almanack.schemas import MEASUREMENT
+from plans_text import plan
 
 STATIONS = [("S1", 1.0, 2.0, "one"), ("S2", 3.0, 4.0, "two"), ("S3", 5.0, 6.0, "three")]
 
@@ -91,3 +92,10 @@ def test_limit_takes_the_first_of_each_kind(spark, stations):
     kept = [r for kind in ("TMAX", "TMIN") for r in [x for x in order if x[2] == kind][:2]]
     for found in both_forms(spark, order, stations, limit=2):
         check(found, by_pairs(kept))
+
+
+def test_limit_makes_no_top_n(spark, stations):
+    rows = [(f"S{i % 3 + 1}", day(i), kind, float(i)) for i in range(40) for kind in ("TMAX", "TMIN")]
+    for found in both_forms(spark, rows, stations, limit=25):
+        text = plan(found)
+        assert "TakeOrdered" not in text and "GlobalLimit" not in text

@@ -143,11 +143,13 @@ def pack_documents(
     spaces_kept: bool = False,
     with_ids: bool = False,
     forget: bool = False,
+    lot_ids: int = LOT_IDS,
 ) -> DataFrame:
     """A row for each piece; ``with_ids`` adds its ids.
 
     ``forget``: a task gives back what its worker remembers of chunks, for the jobs that follow in
     the same workers; the next task learns them anew, which takes more than twice the time.
+    ``lot_ids``: documents are packed in lots of about so many ids, which bounds a task's memory.
     ``sequence_id`` and ``step_group`` hold the partition's number in their upper bits.
     """
     schema = SCHEMA + ", ids array<long>" * with_ids
@@ -183,7 +185,7 @@ def pack_documents(
                 for doc_id, ids in zip(names, ids_of, strict=True):
                     lot.append((doc_id, np.append(ids, end).astype("<u4")))
                     size += len(ids) + 1
-                if size >= LOT_IDS:
+                if size >= lot_ids:
                     batch_out, n_windows, n_groups = rows(lot, task, n_windows, n_groups)
                     yield batch_out
                     lot, size = [], 0

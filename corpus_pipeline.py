@@ -43,7 +43,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of context windows with their ids, a row each."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, with_ids=True, forget=True)
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(docs, tokenizer, end_id=1, with_ids=True, forget=True, lot_ids=1 << 19)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanack.operators.joins import BROADCAST_BYTES, stored_dimension
+from almanack.session import stored
 
 #: Centers that reach the tasks in one array.
 BLOCK_CENTERS = 10_000
@@ -21,6 +22,10 @@ SCAN_CENTERS = 500
 CENTERS_PER_CELL = 2
 #: So many levels above a cell, at most, is the nearest cell with a center that it is listed for.
 NEAR_LEVELS = 2
+#: The search for the center nearest to a far point goes down so many levels at a time.
+DESCENT_LEVELS = 2
+#: A cell with the box and the deputy of its centers, in bytes.
+CELL_BYTES = 128
 #: Cells count as larger by this part of their width, for what rounding may move.
 SLACK = 1e-6
 
@@ -55,18 +60,22 @@ def nearest_center(
 
     ``centers`` has the number in column ``center`` and the same coordinate
     columns as the points. A center that is nowhere (a coordinate is NULL, NaN or
-    infinite) is left out; a point that is nowhere gets NULL.
+    infinite) is left out; a point that is nowhere gets NULL. Of centers at one
+    place only the smallest number can be found, so the others are left out at first.
 
     Few centers, or those of more than two coordinates, reach the tasks in
     arrays of about ``block_centers``, and a point is compared with all. Of many
     centers in a plane or on a line, a grid is laid over them, and each cell has the list of
     centers that are nearest to some place in it: a point looks up its cell and
-    compares a few. Points that are far from all centers, by the measure of the
-    grid, are compared with all. Either way a point never becomes several rows.
+    compares a few. For places of points that are far from all centers, by the measure of the
+    grid, the nearest center is looked for down the levels of the grid, and joins
+    them by place. Either way a point never becomes several rows.
     """
     xs = [f"x{i}" for i in range(len(columns))]
     places = [F.col(c).cast("double").alias(x) for c, x in zip(columns, xs, strict=True)]
     known = centers.select(F.col(center).alias("number"), *places).where(_somewhere(xs))
+    known = known.groupBy(*xs).agg(F.min("number").alias("number")).select("number", *xs)
+    known = stored(known, "centers")
     ends = [f(x).alias(f"{f.__name__}_{x}") for f in (F.min, F.max) for x in xs[:2]]
     extent = known.agg(F.count("*").alias("n"), *ends).first()
     place = [F.col(c).cast("double") for c in columns]
@@ -121,6 +130,7 @@ class _Grid:
         spans = [b - a for a, b in zip(self.low, high, strict=True)]
         cells = max(1, extent["n"] // CENTERS_PER_CELL)
         self.width = max(sqrt(spans[0] * spans[1] / cells), max(spans) / cells) or 1.0
+        self.sides = [int(span / self.width) + 1 for span in spans]
 
     def cell(self, place: Sequence[Column]) -> list[Column]:
         both = [*place, F.lit(0.0)][:2]
@@ -147,15 +157,69 @@ def _nearest_by_cell(
     # A center in a list is a number and two coordinates.
     size = F.coalesce(F.sum(F.size("near") * 32 + 64), F.lit(0))
     cells = stored_dimension(_cell_table(known, grid), max_broadcast_bytes, size)
-    everything = known.agg(F.collect_list(F.struct(*known.columns))).scalar()
-    column, row = grid.cell(place)
-    found = points.withColumns({"_i": column, "_j": row, "_all": everything})
     cells = cells.select(F.col("i").alias("_i"), F.col("j").alias("_j"), F.col("near").alias("_near"))
-    found = found.join(cells, ["_i", "_j"], "left")
-    near = F.when(F.col("_near").isNotNull(), _first_nearest(F.col("_near"), place)).otherwise(
-        _first_nearest(F.col("_all"), place)
-    )
-    return found.withColumn("_best", near)
+    column, row = grid.cell(place)
+    own = {f"_p{i}": x for i, x in enumerate(place)}
+    found = points.withColumns({"_i": column, "_j": row, **own})
+
+    far = found.where(_somewhere(list(own))).select("_i", "_j", *own)
+    far = far.join(cells.select("_i", "_j"), ["_i", "_j"], "left_anti").select(*own).distinct()
+    nearest = _nearest_by_descent(stored(far, "far"), known, grid, max_broadcast_bytes)
+    nearest = stored_dimension(nearest, max_broadcast_bytes)
+    found = found.join(cells, ["_i", "_j"], "left").join(nearest, list(own), "left")
+    near = F.when(F.col("_near").isNotNull(), _first_nearest(F.col("_near"), place))
+    return found.withColumn("_best", near.otherwise(F.col("_far")))
+
+
+def _nearest_by_descent(
+    far: DataFrame, known: DataFrame, grid: _Grid, max_broadcast_bytes: int
+) -> DataFrame:
+    """Add (distance, number) of the nearest center as ``_far`` to each of the places ``_p0`` ….
+
+    A place begins in the one cell that has all centers. On each level it has a bound, its least
+    distance from a deputy, and goes on into the cells whose centers' box is not
+    farther than that. A box is never farther than a center in it, in rounded numbers too:
+    what is lost is farther than the bound.
+    """
+    own = far.columns
+    place = [F.col(c) for c in own]
+    xs = [c for c in known.columns if c != "number"]
+    column, row = grid.cell([F.col(x) for x in xs])
+    centers = known.select(F.struct(*known.columns).alias("center"), column.alias("i"), row.alias("j"))
+    level = max(side.bit_length() for side in grid.sides)
+    reached = far.select(*own, F.lit(0).cast("long").alias("ci"), F.lit(0).cast("long").alias("cj"))
+    anywhere = not far.isEmpty()
+    while level and anywhere:
+        below = max(0, level - DESCENT_LEVELS)
+        ends = [f(f"center.{x}").alias(f"{f.__name__}_{x}") for x in xs for f in (F.min, F.max)]
+        at = [F.shiftright(F.col(c), below).alias(f"b{c}") for c in ("i", "j")]
+        cells = centers.groupBy(*at).agg(F.min("center").alias("deputy"), *ends)
+        up = [F.shiftright(F.col(f"b{c}"), level - below).alias(f"c{c}") for c in ("i", "j")]
+        cells = cells.select("*", *up)
+        most = CELL_BYTES
+        for side in grid.sides:
+            most *= (side >> below) + 1
+        if most <= max_broadcast_bytes:
+            cells = F.broadcast(cells)
+        outside = [
+            F.greatest(F.col(f"min_{x}") - p, p - F.col(f"max_{x}"), F.lit(0.0))
+            for p, x in zip(place, xs, strict=True)
+        ]
+        met = reached.join(cells, ["ci", "cj"]).select(
+            *own,
+            F.col("bi").alias("ci"),
+            F.col("bj").alias("cj"),
+            reduce(Column.__add__, [d * d for d in outside]).alias("box"),
+            _squared(place, F.col("deputy")).alias("deputy"),
+        )
+        met = stored(met, "descent")
+        bounds = met.groupBy(*own).agg(F.min("deputy").alias("bound"))
+        reached = met.join(bounds, own).where("box <= bound").select(*own, "ci", "cj")
+        level = below
+    centers = centers.select("center", F.col("i").alias("ci"), F.col("j").alias("cj"))
+    distance = _squared(place, F.col("center")).alias("distance")
+    best = F.min(F.struct(distance, F.col("center.number").alias("number")))
+    return reached.join(centers, ["ci", "cj"]).groupBy(*own).agg(best.alias("_far"))
 
 
 def _cell_table(known: DataFrame, grid: _Grid) -> DataFrame:

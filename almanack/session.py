@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "almanack", cores: int | str = "*") -> SparkSession:
@@ -44,6 +44,13 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, computed once and read from the shared folder from now on."""
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def require_shared(folder: str, master: str) -> None:
     """Refuse a warehouse on the driver's disk where executors run on other machines."""
     if folder.startswith("file:") and not master.startswith("local"):

@@ -149,6 +149,50 @@ def test_nearest_center_by_cells_like_brute_force(spark, shape, limit):
     assert len(got) == len(points) + len(odd)
 
 
+def test_copies_of_a_center_are_listed_once(spark, monkeypatch):
+    """Many centers at one place make neither more cells nor longer lists; the smallest number counts."""
+    tables = []
+
+    def stored_dimension(df, *args):
+        tables.append(df)
+        return df
+
+    monkeypatch.setattr("almanack.operators.clustering.stored_dimension", stored_dimension)
+    rnd = random.Random(6)
+    places = [(rnd.random() * 9, rnd.random() * 9) for _ in range(60)]
+    points = [(rnd.random() * 9, rnd.random() * 9) for _ in range(100)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "n int, x double, y double")
+    sizes = []
+    for copies in (1, 20):
+        centers = [(60 * c + i, *p) for i, p in enumerate(places) for c in reversed(range(copies))]
+        table = spark.createDataFrame(centers, "cluster int, x double, y double")
+        found = O.nearest_center(df, table, ["x", "y"], scan_centers=10)
+        got = {r.n: r.cluster for r in found.collect()}
+        assert [got[i] for i in range(len(points))] == nearest_by_force(points, centers)
+        cells = next(t for t in tables if "near" in t.columns)
+        sizes.append(cells.agg(F.count("*"), F.sum(F.size("near"))).first())
+        tables.clear()
+    assert sizes[0] == sizes[1]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_far_points_meet_no_array_of_all_centers(spark, limit):
+    """Half of the points are in the middle of a ring of centers or beyond it; a third at one place."""
+    rnd = random.Random(9)
+    turns = [2 * np.pi * i / 900 for i in range(900)]
+    centers = [(i, float(50 * np.cos(t)), float(50 * np.sin(t))) for i, t in enumerate(turns)]
+    points = [(rnd.uniform(-9, 9), rnd.uniform(-9, 9)) for _ in range(60)]
+    points += [(rnd.uniform(-400, 400), rnd.uniform(-400, 400)) for _ in range(60)]
+    points += [(0.0, 0.0), (-0.0, 3.0)] * 40 + [(1e200, 0.0), (-1e150, 1e150), (50.0, 1e7)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "n int, x double, y double")
+    table = spark.createDataFrame(centers, "cluster int, x double, y double")
+    found = O.nearest_center(df, table, ["x", "y"], scan_centers=10, max_broadcast_bytes=limit)
+    text = plan(found)
+    assert "ubquery" not in text and "NestedLoop" not in text and "Product" not in text
+    got = {r.n: r.cluster for r in found.collect()}
+    assert [got[i] for i in range(len(points))] == nearest_by_force(points, centers)
+
+
 def test_nearest_of_fifty_thousand_centers(spark):
     """A plan of the size of that for few thousand, and the nearest of each point."""
     rng = np.random.default_rng(5)

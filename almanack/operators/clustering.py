@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from almanack.operators.joins import BROADCAST_BYTES, stored_dimension
 from almanack.session import stored
 
+#: Distances of rows from centers that a task of a fit computes in an iteration, at most about.
+FIT_DISTANCES = 50_000_000
 #: Centers that reach the tasks in one array.
 BLOCK_CENTERS = 10_000
 #: Up to so many centers, each point is compared with all of them.
@@ -40,11 +42,22 @@ def fit_kmeans(
 ) -> KMeansModel:
     """Fit k-means on the columns; ``model.transform(assemble(...))`` assigns.
 
-    The seed makes a run repeatable on the same partitions only, because the
-    starting centers are sampled per partition.
+    Points at one place are few rows that weigh as many, so means and the sum of squares are those
+    of all points. Spark samples the starting centers from rows whatever they weigh; hence a place that has
+    more than the mean number of points is as many rows as it has that number, which at most doubles the
+    rows. These are dealt by value and sorted, to as many partitions as their number times ``k``
+    asks for: the seed makes a run repeatable however the points are partitioned, but for
+    rounding, and a small file of many points is no single task.
     """
-    means = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=output)
-    return means.fit(assemble(points.select(*columns), columns, "features"))
+    places = stored(points.groupBy(*columns).agg(F.count("*").alias("_points")), "places")
+    whole = places.agg(F.count("*").alias("n"), F.coalesce(F.sum("_points"), F.lit(0)).alias("points")).first()
+    rows = F.ceil(F.col("_points") * (whole["n"] / max(1, whole["points"])))
+    dealt = places.withColumn("_rows", rows).withColumn("_row", F.explode(F.sequence(F.lit(1), "_rows")))
+    dealt = dealt.withColumn("_weight", F.col("_points") / F.col("_rows"))
+    parts = max(1, -(-2 * whole["n"] * k // FIT_DISTANCES))
+    dealt = dealt.repartition(parts, *columns, "_row").sortWithinPartitions(*columns, "_row")
+    means = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=output, weightCol="_weight")
+    return means.fit(assemble(dealt, columns, "features"))
 
 
 def nearest_center(

@@ -51,6 +51,51 @@ def test_kmeans_points_are_with_their_nearest_center(spark, blobs):
     assert both.filter("c <> cluster").count() == 0
 
 
+@pytest.fixture
+def fitted_rows(monkeypatch):
+    """The tables that k-means is fitted on."""
+    tables, fit = [], O.clustering.KMeans.fit
+    monkeypatch.setattr(O.clustering.KMeans, "fit", lambda self, df: tables.append(df) or fit(self, df))
+    return tables
+
+
+def test_kmeans_work_is_that_of_the_places(spark, fitted_rows):
+    """Copies of points add no rows to the fit; the centers are the means of all copies."""
+    rnd = random.Random(5)
+    places = [(i // 30 * 50 + rnd.random(), i % 30 / 30) for i in range(60)]
+    for copies in (1, 40):
+        points = [(*p, i % 7) for i, p in enumerate(places) for _ in range(copies)]
+        df = spark.createDataFrame(points, "x double, y double, other int").repartition(5)
+        centers = sorted(tuple(c) for c in O.fit_kmeans(df, ["x", "y"], k=2, seed=1).clusterCenters())
+        assert centers == [pytest.approx(np.mean(own, axis=0)) for own in (places[:30], places[30:])]
+    assert [df.count() for df in fitted_rows] == [60, 60]
+
+
+def test_kmeans_weighs_places_by_their_points(spark, fitted_rows):
+    """A place with most of the points is more rows, fewer than two for a place in all."""
+    rnd = random.Random(8)
+    places = [(1000.0 * (i % 2) + rnd.random() * 3, 4.0 if i == 7 else rnd.random()) for i in range(50)]
+    points = [p for i, p in enumerate(places) for _ in range(5_000 if i == 7 else 1 + i % 3)]
+    model = O.fit_kmeans(spark.createDataFrame(points, "x double, y double"), ["x", "y"], k=2, seed=1)
+    wanted = [np.mean([p for p in points if (p[0] > 500) == high], axis=0) for high in (False, True)]
+    assert sorted(tuple(c) for c in model.clusterCenters()) == [pytest.approx(w) for w in wanted]
+    (rows,) = fitted_rows
+    assert 80 < rows.count() <= 100
+    assert rows.agg(F.sum("_weight")).first()[0] == pytest.approx(len(points))
+
+
+def test_kmeans_is_the_same_on_any_partitions(spark, monkeypatch, fitted_rows):
+    monkeypatch.setattr(O.clustering, "FIT_DISTANCES", 1_000)
+    rnd = random.Random(1)
+    df = spark.createDataFrame([(rnd.random(), rnd.random()) for _ in range(200)], "x double, y double")
+    found = []
+    for n in (1, 6):
+        model = O.fit_kmeans(df.repartition(n), ["x", "y"], k=12, seed=4)
+        found.append([pytest.approx(tuple(c)) for c in model.clusterCenters()])
+    assert found[0] == [c.expected for c in found[1]]
+    assert [t.rdd.getNumPartitions() for t in fitted_rows] == [5, 5]
+
+
 def test_nearest_center_like_brute_force(spark):
     rnd = random.Random(4)
     points = [(i, rnd.randint(0, 9), rnd.random()) for i in range(200)]

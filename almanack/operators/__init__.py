@@ -8,7 +8,7 @@ from .aggregates import (
     rows_at_max,
     share_where,
 )
-from .clustering import assemble, fit_kmeans, nearest_center
+from .clustering import assemble, assign_kmeans, fit_kmeans, nearest_center
 from .joins import bounded_broadcast, contains_join, nested_pair_join, stored_dimension
 from .moments import merge_moments, moments
 from .ranking import first_rows, key_share, sample_by_key, with_positions
@@ -19,6 +19,7 @@ __all__ = [
     "argmax_by_key",
     "argmax_row",
     "assemble",
+    "assign_kmeans",
     "bounded_broadcast",
     "contains_join",
     "first_rows",

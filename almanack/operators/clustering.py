@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import sqrt
+from math import isqrt, sqrt
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from almanack.operators.joins import BROADCAST_BYTES, stored_dimension
 from almanack.session import stored
 
-#: Distances of rows from centers that a task of a fit computes in an iteration, at most about.
+#: Distances of rows from centers that a task computes in an iteration of a fit, or to assign clusters.
 FIT_DISTANCES = 50_000_000
+#: Of more tasks than this, only the square of their number grows with the distances.
+FIT_TASKS = 64
 #: Centers that reach the tasks in one array.
 BLOCK_CENTERS = 10_000
 #: Up to so many centers, each point is compared with all of them.
@@ -40,26 +42,47 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str) -> DataFrame:
 def fit_kmeans(
     points: DataFrame, columns: Sequence[str], k: int, seed: int, output: str = "cluster"
 ) -> KMeansModel:
-    """Fit k-means on the columns; ``model.transform(assemble(...))`` assigns.
+    """Fit k-means on the columns; ``assign_kmeans`` assigns.
 
     Points at one place are few rows that weigh as many, so means and the sum of squares are those
     of all points. Spark samples the starting centers from rows whatever they weigh; hence a place that has
     more than the mean number of points is as many rows as it has that number, which at most doubles the
     rows. These are dealt by value and sorted, to as many partitions as their number times ``k``
     asks for: the seed makes a run repeatable however the points are partitioned, but for
-    rounding, and a small file of many points is no single task.
+    rounding, and a small file of many points is no single task. Each iteration shuffles the sums of
+    clusters from all these partitions to as many.
     """
     places = stored(points.groupBy(*columns).agg(F.count("*").alias("_points")), "places")
     whole = places.agg(F.count("*").alias("n"), F.coalesce(F.sum("_points"), F.lit(0)).alias("points")).first()
     rows = F.ceil(F.col("_points") * (whole["n"] / max(1, whole["points"])))
     dealt = places.withColumn("_rows", rows).withColumn("_row", F.explode(F.sequence(F.lit(1), "_rows")))
     dealt = dealt.withColumn("_weight", F.col("_points") / F.col("_rows"))
-    parts = max(1, -(-2 * whole["n"] * k // FIT_DISTANCES))
-    dealt = dealt.repartition(parts, *columns, "_row").sortWithinPartitions(*columns, "_row")
+    dealt = dealt.repartition(_tasks(2 * whole["n"] * k), *columns, "_row").sortWithinPartitions(*columns, "_row")
     means = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=output, weightCol="_weight")
     return means.fit(assemble(dealt, columns, "features"))
 
 
+def assign_kmeans(points: DataFrame, columns: Sequence[str], model: KMeansModel) -> DataFrame:
+    """Add the cluster of each point, in the column that the model was fitted for.
+
+    A point is compared with all centers, so a small file of many points is much work. The points are
+    counted by partition: where one has more than twice the share that a task would have if
+    their number times the centers were dealt evenly, they are dealt out in turn.
+    """
+    own = points.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("rows"))
+    sums = (F.coalesce(f("rows"), F.lit(0)).alias(f.__name__) for f in (F.sum, F.max))
+    rows, largest = own.agg(*sums).first()
+    tasks = _tasks(rows * len(model.clusterCenters()))
+    dealt = points.repartition(tasks) if largest * tasks > 2 * rows else points
+    return model.transform(assemble(dealt, columns, "features")).drop("features")
+
+
+def _tasks(distances: int) -> int:
+    """How many tasks are to compute so many distances."""
+    tasks = max(1, -(-distances // FIT_DISTANCES))
+    return tasks if tasks <= FIT_TASKS else isqrt(FIT_TASKS * tasks)
+
+
 def nearest_center(
     points: DataFrame,
     centers: DataFrame,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almanack.functions import day_angle
-from almanack.operators.clustering import assemble, fit_kmeans
+from almanack.operators.clustering import assign_kmeans, fit_kmeans
 from almanack.operators.joins import BROADCAST_BYTES, stored_dimension
 from almanack.operators.moments import (
     mean_of,
@@ -26,7 +26,7 @@ LOCATION = ("lat", "lon")
 def cluster_stations(stations: DataFrame, k: int = 2000, seed: int = 1) -> DataFrame:
     """Add ``cluster``: k-means on latitude and longitude in degrees."""
     model = fit_kmeans(stations, LOCATION, k, seed)
-    return model.transform(assemble(stations, LOCATION, "features")).drop("features")
+    return assign_kmeans(stations, LOCATION, model)
 
 
 def climate_profile(

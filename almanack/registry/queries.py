@@ -667,7 +667,7 @@ def kmeans_fit(spark, sf_dir):
     model = O.fit_kmeans(stations, ["lat", "lon"], k=2000, seed=1)
     rows = [(i, *map(float, c)) for i, c in enumerate(model.clusterCenters())]
     centers = spark.createDataFrame(rows, "nearest int, lat double, lon double")
-    assigned = model.transform(O.assemble(stations, ["lat", "lon"], "features")).drop("features")
+    assigned = O.assign_kmeans(stations, ["lat", "lon"], model)
     found = O.nearest_center(assigned, centers, ["lat", "lon"], "nearest")
     for own in ("cluster", "nearest"):
         place = centers.select(

@@ -11,6 +11,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from almanack import operators as O
+from almanack import plans as P
 from plans_text import plan
 
 
@@ -96,6 +97,46 @@ def test_kmeans_is_the_same_on_any_partitions(spark, monkeypatch, fitted_rows):
     assert [t.rdd.getNumPartitions() for t in fitted_rows] == [5, 5]
 
 
+@pytest.mark.parametrize("rows, tasks", [(100, 6), (400, 12)])
+def test_kmeans_shuffles_grow_with_the_rows(spark, monkeypatch, fitted_rows, rows, tasks):
+    """An iteration shuffles from all partitions to as many: beyond FIT_TASKS, only their square grows."""
+    monkeypatch.setattr(O.clustering, "FIT_DISTANCES", 100)
+    monkeypatch.setattr(O.clustering, "FIT_TASKS", 4, raising=False)
+    rnd = random.Random(7)
+    df = spark.createDataFrame([(rnd.random(), rnd.random()) for _ in range(rows)], "x double, y double")
+    O.fit_kmeans(df, ["x", "y"], k=5, seed=4)
+    assert [t.rdd.getNumPartitions() for t in fitted_rows] == [tasks]
+
+
+def sizes_of(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_stations_of_one_partition_are_assigned_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(O.clustering, "FIT_DISTANCES", 1_000)
+    rnd = random.Random(3)
+    rows = [(f"s{i}", rnd.random(), rnd.random()) for i in range(500)]
+    rows += [("copy", 0.5, 0.5)] * 250  # a third of the rows are the same
+    df = spark.createDataFrame(rows, "sid string, lat double, lon double").coalesce(1)
+    found = P.cluster_stations(df, k=12)
+    assert found.columns == ["sid", "lat", "lon", "cluster"]
+    sizes = sizes_of(found)
+    assert sum(sizes) == 750 and len(sizes) == 9 and sizes[-1] <= 750 / 9 * 1.5
+    model = O.fit_kmeans(df, ["lat", "lon"], k=12, seed=1)
+    wanted = model.transform(O.assemble(df, ["lat", "lon"], "features")).drop("features")
+    got = O.assign_kmeans(df, ["lat", "lon"], model)
+    assert sorted(got.collect()) == sorted(wanted.collect())
+
+
+def test_points_of_even_partitions_stay_where_they_are(spark, monkeypatch, blobs):
+    model = O.fit_kmeans(blobs, ["lat", "lon"], k=4, seed=3)
+    assert "Exchange" not in plan(O.assign_kmeans(blobs.coalesce(1), ["lat", "lon"], model))
+    monkeypatch.setattr(O.clustering, "FIT_DISTANCES", 100)
+    spread = spark.range(0, 100, 1, 8).select(F.col("id").alias("lat"), F.lit(2.0).alias("lon"))
+    assert "Exchange" not in plan(O.assign_kmeans(spread, ["lat", "lon"], model))
+    assert O.assign_kmeans(blobs.limit(0), ["lat", "lon"], model).collect() == []
+
+
 def test_nearest_center_like_brute_force(spark):
     rnd = random.Random(4)
     points = [(i, rnd.randint(0, 9), rnd.random()) for i in range(200)]
